@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, match, normal, packing
+from ledgerloom.llm import bpe, consensus, match, normal, packing
 from ledgerloom.session import spread
 from ledgerloom.sources.tables import table
 
@@ -24,6 +24,28 @@ def _known_words(spark: SparkSession, d: str) -> frozenset[str]:
     return frozenset(w for r in rows if r.text for w in re.findall(r"[^\W\d_]+", r.text.lower()))
 
 
+def _readings(spark: SparkSession, d: str):
+    df = table(spark, d, "token_consensus").select(
+        "item_id", "kind", F.coalesce(F.col("value").cast("string"), F.col("token")).alias("label"), "voters_hit", "column_dropped_voters"
+    )
+    return df, *consensus.fit(df, "item_id", "kind", "label", "voters_hit", "column_dropped_voters")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_consensus(spark, d).select("item_id", "label")
+
+
+def p2_consensus(spark: SparkSession, d: str) -> DataFrame:
+    df, items, model = _readings(spark, d)
+    found = consensus.consensus(items, model)
+    return df.select("item_id").distinct().join(found.withColumnRenamed("item", "item_id"), "item_id", "left")
+
+
+def p2_voters(spark: SparkSession, d: str) -> DataFrame:
+    df, _, model = _readings(spark, d)
+    return consensus.reliability(df, model)
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     known = _known_words(spark, d)
     parts = [
@@ -75,6 +97,9 @@ def p9_usage(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p2_found": p2_found,
+    "p2_consensus": p2_consensus,
+    "p2_voters": p2_voters,
     "p4_found": p4_found,
     "p4_texts": p4_texts,
     "p7_found": p7_found,
