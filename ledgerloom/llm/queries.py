@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, consensus, match, normal, packing
+from ledgerloom.llm import bpe, consensus, match, normal, packing, scan
 from ledgerloom.session import spread
 from ledgerloom.sources.tables import table
 
@@ -46,6 +46,28 @@ def p2_voters(spark: SparkSession, d: str) -> DataFrame:
     return consensus.reliability(df, model)
 
 
+#: The tables with noise of scanned pages: table, key, text, whether a text is a page.
+SCANNED = [("voter_tokens", "vt_id", "full_text", True), ("token_consensus", "tc_id", "sample_text", False)]
+
+
+def _scanned(spark: SparkSession, d: str):
+    parts = [(name, spread(table(spark, d, name).select(F.col(key).alias("row_id"), F.col(text).alias("text"))), pages) for name, key, text, pages in SCANNED]
+    words = {w: scan.LEAST_COUNT for w in _known_words(spark, d)}
+    return parts, scan.learn([(df, "text", pages) for _, df, pages in parts], spark, words)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    parts, known = _scanned(spark, d)
+    found = [scan.damaged_lines(df, "row_id", "text", known, pages).select(F.lit(name).alias("tab"), "row_id", "line_no", "kind") for name, df, pages in parts]
+    return found[0].unionByName(found[1])
+
+
+def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    parts, known = _scanned(spark, d)
+    texts = [scan.repaired(df, "row_id", "text", known, pages).select(F.lit(name).alias("tab"), "row_id", "paragraphs") for name, df, pages in parts]
+    return texts[0].unionByName(texts[1])
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     known = _known_words(spark, d)
     parts = [
@@ -100,6 +122,8 @@ QUERIES = {
     "p2_found": p2_found,
     "p2_consensus": p2_consensus,
     "p2_voters": p2_voters,
+    "p3_found": p3_found,
+    "p3_paragraphs": p3_paragraphs,
     "p4_found": p4_found,
     "p4_texts": p4_texts,
     "p7_found": p7_found,
