@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, consensus, match, normal, packing, scan
+from ledgerloom.llm import abuse, bpe, consensus, match, normal, packing, scan
 from ledgerloom.session import spread
 from ledgerloom.sources.tables import table
 
@@ -118,6 +118,24 @@ def p9_usage(spark: SparkSession, d: str) -> DataFrame:
     return packing.usage(p9_containers(spark, d), CONTAINER_TOKENS)
 
 
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    return abuse.score_documents(docs, "doc_id", "text", abuse.fit(docs, "text"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d).where("flagged").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d)
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    scored = _scores(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return scored.groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("flagged").cast("long")).alias("flagged"), F.round(F.avg(F.col("flagged").cast("double")), 6).alias("rate"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_consensus": p2_consensus,
@@ -132,6 +150,9 @@ QUERIES = {
     "p8_counts": p8_counts,
     "p9_containers": p9_containers,
     "p9_usage": p9_usage,
+    "p10_found": p10_found,
+    "p10_scores": p10_scores,
+    "p10_rates": p10_rates,
 }
 
 SQL: dict[str, str] = {}
