@@ -55,7 +55,7 @@ UNITS = [
 #: What `decimals` means for money.
 MONEY_DECIMALS = {-3: 1000, -6: 10**6}
 
-BLANKS = "   ​"
+BLANKS = "\u00a0\u202f\u2009\u200b"
 NUMBER = re.compile(r"(?<![\w.,])(?P<open>\(\s*)?(?P<sign>[-−–]\s*)?(?P<n>\d{1,3}(?:[ .]\d{3})+(?!\d)|\d+)(?:,(?P<d>\d+))?(?P<close>\s*\))?")
 
 
