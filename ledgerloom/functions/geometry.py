@@ -20,7 +20,10 @@ def iou(a: Column, b: Column) -> Column:
     w = F.least(a["r"], b["r"]) - F.greatest(a["l"], b["l"])
     h = F.least(a["b"], b["b"]) - F.greatest(a["t"], b["t"])
     inter = w * h
-    return F.when((w > 0) & (h > 0), inter / (area(a) + area(b) - inter)).otherwise(F.when(w.isNotNull() & h.isNotNull(), F.lit(0.0)))
+    whole = a["l"]  # a sum is null if a side is; least and greatest would pass over it
+    for c in (a["t"], a["r"], a["b"], b["l"], b["t"], b["r"], b["b"]):
+        whole = whole + c
+    return F.when(whole.isNotNull(), F.when((w > 0) & (h > 0), inter / (area(a) + area(b) - inter)).otherwise(0.0))
 
 
 def merged(c: str) -> Column:

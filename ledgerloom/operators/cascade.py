@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import vote
 from ledgerloom.operators.observe import OBSERVERS, Observer, VoteOptions
+from ledgerloom.session import checkpoint
 
 PAGE = ["doc_id", "page_no"]
 
@@ -59,7 +60,7 @@ def sampled(pages: DataFrame, voter: str, rate: float) -> DataFrame:
 def lazy_vote(eager: DataFrame, lazy: DataFrame, min_voters: int = 5, rate: float = 0.0, width: float = 1000.0, veto: bool = True) -> DataFrame:
     """Diagnostics after the second pass (OP-C6): lazy voters' cells join in on pages with a
     disagreement, and on a sampled share of the others; only those pages are voted on again."""
-    first = vote.bbox_vote(eager, width, min_voters, veto=veto)
+    first = checkpoint(vote.bbox_vote(eager, width, min_voters, veto=veto))  # read three times below
     open_pages = first.where(~F.col("committed")).select(*PAGE).distinct()
     chosen = open_pages
     if rate > 0:

@@ -165,7 +165,7 @@ def read_quantity(kind, number, text, unit, decimals):
 
 
 def read_quantities(df: DataFrame, kind: str, number: str, text: str, unit: str, decimals: str) -> DataFrame:
-    """``df`` with ``q``: struct of value (text of a decimal), unit_id (-1: none said), scale, from_text; null if unreadable."""
+    """``df`` with ``__q``: struct of value (text of a decimal), unit_id (-1: none said), scale, from_text; null if unreadable."""
     schema = "value string, unit_id int, scale long, from_text boolean"
 
     @F.pandas_udf(schema)
@@ -176,7 +176,7 @@ def read_quantities(df: DataFrame, kind: str, number: str, text: str, unit: str,
             out.append((None, None, None, None) if q is None else (str(q[0]), -1 if q[1] is None else q[1], q[2], q[3]))
         return pd.DataFrame(out, columns=["value", "unit_id", "scale", "from_text"]).astype({"unit_id": "Int32", "scale": "Int64", "from_text": "boolean"})
 
-    return df.withColumn("q", run(F.col(kind), F.col(number).cast("double"), F.col(text), F.col(unit), F.col(decimals).cast("double")))
+    return df.withColumn("__q", run(F.col(kind), F.col(number).cast("double"), F.col(text), F.col(unit), F.col(decimals).cast("double")))
 
 
 def micro(value: str, up: str, down: str, scale: int) -> int | None:
@@ -193,24 +193,26 @@ def in_common_units(df: DataFrame, kind: str, number: str, text: str, unit: str,
     ``converted`` is true where the quantity can be read but is not already ``number`` in the common
     unit. A scale stated twice (by unit and decimals) is one scale. Null, empty and unreadable texts,
     references to notes, kinds without a unit and amounts beyond 64 bits give nulls and false. The
-    factor table has some thirty rows and is broadcast.
+    factor table has some thirty rows and is broadcast. Columns of ``df`` named like the results are
+    replaced, other columns stay.
     """
     spark = df.sparkSession
+    df = df.drop("common_unit", "amount_micro", "converted")
     keep = df.columns
     q = read_quantities(df, kind, number, text, unit, decimals)
-    factors = factor_table(spark).select(F.col("unit_id").alias("__id"), "up", "down")
-    q = q.join(F.broadcast(factors), F.col("q.unit_id") == F.col("__id"), "left")
-    up, down = F.coalesce("up", F.lit("1")), F.coalesce("down", F.lit("1"))
+    factors = factor_table(spark).select(F.col("unit_id").alias("__id"), F.col("up").alias("__up"), F.col("down").alias("__down"))
+    q = q.join(F.broadcast(factors), F.col("__q.unit_id") == F.col("__id"), "left")
+    up, down = F.coalesce("__up", F.lit("1")), F.coalesce("__down", F.lit("1"))
     # money in a plain unit takes the scale from decimals; a scaled or split unit has stated it already
-    scale = F.when((up == "1") & (down == "1"), F.col("q.scale")).otherwise(F.lit(1).cast("long"))
+    scale = F.when((up == "1") & (down == "1"), F.col("__q.scale")).otherwise(F.lit(1).cast("long"))
 
     @F.pandas_udf("long")
     def amount(v: pd.Series, a: pd.Series, b: pd.Series, s: pd.Series) -> pd.Series:
         return pd.Series([None if x is None else micro(x, i, j, int(k)) for x, i, j, k in zip(v, a, b, s)], dtype="Int64")
 
     common = F.create_map(*[F.lit(x) for kv in COMMON.items() for x in kv])
-    changed: Column = F.col("q.from_text") | (up != "1") | (down != "1") | (scale != 1)
-    out = q.withColumn("amount_micro", amount(F.col("q.value"), up, down, F.coalesce(scale, F.lit(1).cast("long"))))
+    changed: Column = F.col("__q.from_text") | (up != "1") | (down != "1") | (scale != 1)
+    out = q.withColumn("amount_micro", amount(F.col("__q.value"), up, down, F.coalesce(scale, F.lit(1).cast("long"))))
     return out.select(
         *keep,
         F.when(F.col("amount_micro").isNotNull(), common[F.col(kind)]).alias("common_unit"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.functions.geometry import iou
 from ledgerloom.functions.text import grouped, normalise_text, numeric_tokens, plain_minus, word_tokens
 
 PAGE = ["doc_id", "page_no"]
@@ -48,25 +49,54 @@ def column_drop(cells: DataFrame, width: float = 1000.0, min_columns: int = 2, g
 # clusters --------------------------------------------------------------
 
 
+def _first_fit(ls, ts, rs, bs, voters, least_iou: float) -> list[list[int]]:
+    """Places of the cells of each cluster, taking the cells in their order."""
+    members: list[list[int]] = []
+    seen: list[set] = []
+    areas = [max(1.0, (r - x) * (b - t)) for x, t, r, b in zip(ls, ts, rs, bs)]
+    for i in range(len(ls)):
+        left, top, right, bottom, area = ls[i], ts[i], rs[i], bs[i], areas[i]
+        for k, of in enumerate(members):
+            hit = False
+            for j in of:
+                w = min(right, rs[j]) - max(left, ls[j])
+                if w <= 0:
+                    continue
+                h = min(bottom, bs[j]) - max(top, ts[j])
+                if h > 0 and w * h >= least_iou * (area + areas[j] - w * h):
+                    hit = True
+                    break
+            if hit:
+                if voters[i] not in seen[k]:
+                    seen[k].add(voters[i])
+                    of.append(i)
+                break
+        else:
+            members.append([i])
+            seen.append({voters[i]})
+    return members
+
+
 def clusters(cells: DataFrame, least_iou: float = 0.3) -> DataFrame:
     """Cells of a page put into clusters, greedily in voter and cell order (OP-V5).
 
     A cell joins the first cluster with a member that overlaps enough; if its voter is there already,
-    it is absorbed. One row per page and cluster: ``cluster_no`` and ``members``. The fold runs in the
-    JVM over the page's cells; a page is a bounded group.
+    it is absorbed. One row per page and cluster: ``cluster_no`` and ``members``. Cells without a whole
+    box take no part. The order decides, so a page is one unit of work; only its boxes go to Python
+    (Arrow), the cells are picked by place in the JVM. A page is a bounded group.
     """
     member = F.struct("voter_ord", "cell_idx", "voter", "text", "confidence", "bbox")
-    page = cells.where(F.col("bbox").isNotNull()).groupBy(*PAGE).agg(F.array_sort(F.collect_list(member)).alias("all"))
-    kind = page.schema["all"].dataType.simpleString()
+    whole = F.col("bbox.l").isNotNull() & F.col("bbox.t").isNotNull() & F.col("bbox.r").isNotNull() & F.col("bbox.b").isNotNull()
+    page = cells.where(whole).groupBy(*PAGE).agg(F.array_sort(F.collect_list(member)).alias("all"))
 
-    def step(acc, c):
-        hit = F.transform(acc, lambda k: F.exists(k, lambda e: iou(e["bbox"], c["bbox"]) >= least_iou))
-        at = F.array_position(hit, True)
-        joined = F.transform(acc, lambda k, i: F.when((i + 1 == at) & ~F.exists(k, lambda e: e["voter"] == c["voter"]), F.array_append(k, c)).otherwise(k))
-        return F.when(at == 0, F.array_append(acc, F.array(c))).otherwise(joined)
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def assign(ls: pd.Series, ts: pd.Series, rs: pd.Series, bs: pd.Series, vs: pd.Series) -> pd.Series:
+        return pd.Series([_first_fit(*(x.tolist() for x in page), least_iou) for page in zip(ls, ts, rs, bs, vs)], dtype=object)
 
-    folded = page.select(*PAGE, F.aggregate("all", F.expr(f"CAST(array() AS array<{kind}>)"), step).alias("k"))
-    return folded.select(*PAGE, F.posexplode("k").alias("cluster_no", "members"))
+    part = lambda k: F.transform("all", lambda m: m["bbox"][k])
+    folded = page.withColumn("k", assign(part("l"), part("t"), part("r"), part("b"), F.transform("all", lambda m: m["voter"])))
+    each = folded.select(*PAGE, "all", F.posexplode("k").alias("cluster_no", "at"))
+    return each.select(*PAGE, "cluster_no", F.transform("at", lambda i: F.get("all", i)).alias("members"))
 
 
 def vote_clusters(members: DataFrame, keys: list[str], text: str = "text", voter: str = "voter") -> DataFrame:
