@@ -246,8 +246,10 @@ def map_values(df: DataFrame, value: str, reference: DataFrame, ref_id: str, ref
     Null and blank values and values without a letter have no match. Distinct values are resolved
     once and joined back, so a value that fills a third of the rows costs no more than another. The
     reference list goes to every executor and must not have more than ``most_entries`` rows (checked).
-    An empty list matches nothing. Equal similarity goes to the entry that sorts first.
+    An empty list matches nothing. Equal similarity goes to the entry that sorts first. Columns of
+    ``df`` named like the results are replaced, other columns stay.
     """
+    df = df.drop("match_id", "method", "similarity")
     rows = reference.select(ref_id, ref_text).distinct().limit(most_entries + 1).collect()
     if len(rows) > most_entries:
         raise ValueError(f"the reference list has more than {most_entries} entries")
