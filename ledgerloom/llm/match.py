@@ -114,7 +114,7 @@ class Reference:
         if self.keys:
             self.automaton.make_automaton()
         self.sorted_keys = ["".join(sorted(w)) for w in self.words]
-        self.counts = np.array([self._count(s) for s in self.keys], dtype=np.int16).reshape(len(self.keys), 36)
+        self.counts = np.array([self._count(s) for s in self.keys], dtype=np.int32).reshape(len(self.keys), 36)
         self.lengths = np.array([len(s) for s in self.keys], dtype=np.int32)
         self.vocabulary = {w for ws in self.words for w in ws}
 
@@ -193,7 +193,7 @@ class Reference:
         if r := rotated(t):
             forms.add(squash(r))
         best: tuple[float, str, int] | None = None
-        bound = np.minimum(self.counts, np.array(self._count(s), dtype=np.int16)).sum(axis=1) * 2 / (self.lengths + len(s))
+        bound = np.minimum(self.counts, np.array(self._count(s), dtype=np.int32)).sum(axis=1) * 2 / (self.lengths + len(s))
         words = re.findall(r"[a-z0-9]+", t)
         by_word = "".join(sorted(words))
         for n in np.flatnonzero(bound >= LEAST):
