@@ -73,23 +73,59 @@ def _label_list(index: DataFrame) -> list[tuple[str, str]]:
     return [(r[0], r[1]) for r in rows]
 
 
+class _Labels:
+    """A label list with what bounds the similarity of a text to each label from above."""
+
+    def __init__(self, labels: list[tuple[str, str]]):
+        self.labels = labels
+        self.words = [" ".join(sorted(set(t.split()))) for t, _ in labels]
+        self.of_word: dict[str, list[int]] = {}
+        for n, w in enumerate(self.words):
+            for x in w.split():
+                self.of_word.setdefault(x, []).append(n)
+        letters = sorted({c for w in self.words for c in w})
+        self.at = {c: i for i, c in enumerate(letters)}
+        self.counts = np.array([self._count(w) for w in self.words], dtype=np.int32).reshape(len(labels), len(letters))
+        self.sizes = np.array([len(w) for w in self.words])
+
+    def _count(self, text: str) -> list[int]:
+        out = [0] * len(self.at)
+        for c in text:
+            if (i := self.at.get(c)) is not None:
+                out[i] += 1
+        return out
+
+    def best(self, form: str, threshold: float, top_k: int) -> list[tuple[float, int]]:
+        """The best labels of a text, if the first reaches the threshold.
+
+        A label that shares no word can't be more similar than their letters in common allow; most are
+        left out by that, without changing the result.
+        """
+        words = " ".join(sorted(set(form.split())))
+        near = {n for w in words.split() for n in self.of_word.get(w, ())}
+        if len(self.labels):
+            bound = 200.0 * np.minimum(self.counts, np.array(self._count(words))).sum(axis=1) / (self.sizes + len(words))
+            near.update(np.flatnonzero(bound >= threshold).tolist())
+        if not near or max(token_set_ratio(form, self.labels[n][0]) for n in near) < threshold:
+            return []
+        return sorted((-token_set_ratio(form, t), n) for n, (t, _) in enumerate(self.labels))[:top_k]
+
+
 def fuzzy(queries: DataFrame, index: DataFrame, query: str = "query", threshold: float = 95.0, top_k: int = 5) -> DataFrame:
     """``queries`` with ``concept_id``, ``score``, ``others`` by token-set similarity (OP-R5).
 
     The best label must reach ``threshold``; equal scores go by label order. Each distinct form is
-    compared once with the whole list.
+    compared once with the list.
     """
     labels = _label_list(index)
 
     def run(batches):
+        known = _Labels(labels)
         for pdf in batches:
             out = []
             for f in pdf["__form"]:
-                scored = sorted(((-token_set_ratio(f, t), n) for n, (t, _) in enumerate(labels)))[:top_k]
-                if scored and -scored[0][0] >= threshold:
-                    out.append((f, labels[scored[0][1]][1], -scored[0][0], [labels[n][1] for _, n in scored[1:]]))
-                else:
-                    out.append((f, None, None, []))
+                scored = known.best(f, threshold, top_k)
+                out.append((f, labels[scored[0][1]][1], -scored[0][0], [labels[n][1] for _, n in scored[1:]]) if scored else (f, None, None, []))
             yield pd.DataFrame(out, columns=["__form", "concept_id", "score", "others"])
 
     q = queries.withColumn("__form", label_form(F.col(query)))
