@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import label_form, nfkc_casefold, one_blank
+from ledgerloom.session import fan_out
 
 #: A label list goes to every executor; it must not be larger (checked).
 MOST_LABELS = 50_000
@@ -130,7 +131,7 @@ def fuzzy(queries: DataFrame, index: DataFrame, query: str = "query", threshold:
 
     q = queries.withColumn("__form", label_form(F.col(query)))
     forms = q.select("__form").where(F.coalesce("__form", F.lit("")) != "").distinct()
-    return q.join(forms.mapInPandas(run, "__form string, concept_id string, score double, others array<string>"), "__form", "left").drop("__form")
+    return q.join(fan_out(forms).mapInPandas(run, "__form string, concept_id string, score double, others array<string>"), "__form", "left").drop("__form")
 
 
 def nearest(queries: DataFrame, base: DataFrame, key: str, vector: str, threshold: float = 0.78, top_k: int = 5, block: int = 2048) -> DataFrame:

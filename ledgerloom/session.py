@@ -71,3 +71,14 @@ def ship(spark: SparkSession) -> None:
                     z.write(p, os.path.join("ledgerloom", os.path.relpath(p, root)))
     sc.addPyFile(to)
     sc._ledgerloom_shipped = True
+
+
+def fan_out(df: DataFrame, *by: str) -> DataFrame:
+    """Rows over at least as many partitions as there are cores, by columns if given.
+
+    For little data that takes Python long: the planner merges partitions by their bytes and would
+    leave such a stage to one or two tasks. Partitions follow the session's setting, four a core at most.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(max(cores, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)), *by)
