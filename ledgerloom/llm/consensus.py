@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import checkpoint
+from ledgerloom.session import checkpoint, fan_out
 
 #: Parameters are kept on the driver up to this many; they grow with annotators, not with items.
 MOST_PARAMETERS = 2_000_000
@@ -71,7 +71,7 @@ def items_of(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped:
     one = rows.groupBy("item", "kind", "label").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hit")))).alias("hit"), F.array_distinct(F.flatten(F.collect_set("out"))).alias("out"))
     support = one.where(F.size("hit") >= 2).groupBy("kind", "label").agg(F.count("*").alias("support"))
     one = one.join(support, ["kind", "label"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
-    per = one.groupBy("item", "kind").agg(
+    per = fan_out(one, "item", "kind").groupBy("item", "kind").agg(
         F.array_sort(F.collect_list(F.struct("label", "hit", "support"))).alias("c"), F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")
     )
     kept = F.transform("c", lambda x: F.filter(x["hit"], lambda v: ~F.array_contains(F.col("out"), v)))

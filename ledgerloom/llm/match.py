@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.normal import consistent
+from ledgerloom.session import fan_out
 
 #: Words around an account heading that do not belong to its name.
 FILLERS = {"sum", "note", "noter", "nr", "nok", "tnok", "mnok", "kr", "total", "totalt", "samlet", "total", "av", "of", "the", "i", "hele", "tusen", "per", "pr"}
@@ -262,6 +263,6 @@ def map_values(df: DataFrame, value: str, reference: DataFrame, ref_id: str, ref
             yield pd.DataFrame({"__value": pdf["__value"], "match_id": [o[0] for o in out], "method": [o[1] for o in out], "similarity": [o[2] for o in out]})
 
     distinct = df.select(F.col(value).alias("__value")).where(F.col("__value").isNotNull()).distinct()
-    found = distinct.mapInPandas(run, "__value string, match_id string, method string, similarity double")
+    found = fan_out(distinct).mapInPandas(run, "__value string, match_id string, method string, similarity double")
     out = df.join(found, F.col(value) == F.col("__value"), "left").drop("__value")
     return out.withColumn("method", F.coalesce("method", F.lit("none"))).withColumn("similarity", F.coalesce("similarity", F.lit(0.0)))

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import fan_out
+
 #: Items that a block should hold.
 BLOCK_ITEMS = 20_000
 
@@ -106,7 +108,7 @@ def pack(df: DataFrame, key: str, tokens: str, capacity: int, max_segments: int
         i = np.concatenate(rows_i)
         return pd.DataFrame({"container": base + np.concatenate(rows_c), key: pdf["__key"].to_numpy()[i], "token_start": np.concatenate(rows_a), "token_end": np.concatenate(rows_b)})
 
-    return items.groupBy("__block").applyInPandas(run, schema)
+    return fan_out(items, "__block").groupBy("__block").applyInPandas(run, schema)
 
 
 def usage(packed: DataFrame, capacity: int) -> DataFrame:
