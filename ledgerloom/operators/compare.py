@@ -21,22 +21,22 @@ LEAF_ROWS, FAN_BITS, MAX_BITS = 8, 4, 40
 
 
 def latest_rows(df: DataFrame, keys: list[str], fields: list[Column], order: str) -> DataFrame:
-    """``keys`` and ``v``, the fields of the row with the highest ``order`` per key; null keys are left out.
+    """``keys`` and ``__v``, the fields of the row with the highest ``order`` per key; null keys are left out.
 
     ``fields`` are already in comparable form and aliased. Partial aggregation comes before the
     shuffle, so repeated rows of one key do not pile up.
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return df.where(known).groupBy(*keys).agg(F.max_by(F.struct(*fields), F.col(order)).alias("v"))
+    return df.where(known).groupBy(*keys).agg(F.max_by(F.struct(*fields), F.col(order)).alias("__v"))
 
 
 def _sums(rows: DataFrame, fields: list[str], bits: int, sign: int) -> DataFrame:
     """Count and checksum of every finest range, with the side's sign."""
     # hashing skips nulls, so which fields are null is hashed as well
-    parts = [x for f in fields for x in (F.col(f"v.{f}"), F.col(f"v.{f}").isNull())]
-    digest = F.xxhash64("pos", *parts)
+    parts = [x for f in fields for x in (F.col(f"__v.{f}"), F.col(f"__v.{f}").isNull())]
+    digest = F.xxhash64("__pos", *parts)
     # halves are summed apart: sums of 32-bit numbers don't overflow, in whatever order they are added
-    return rows.groupBy(F.shiftrightunsigned("pos", 64 - bits).alias("range")).agg(
+    return rows.groupBy(F.shiftrightunsigned("__pos", 64 - bits).alias("range")).agg(
         (F.count("*") * sign).alias("n"),
         (F.sum(digest.bitwiseAND(F.lit(0xFFFFFFFF))) * sign).alias("s1"),
         (F.sum(F.shiftrightunsigned(digest, 32)) * sign).alias("s2"),
@@ -68,21 +68,21 @@ def leaf_bits(rows: int) -> int:
 def compare_copies(left: DataFrame, right: DataFrame, keys: list[str], names: tuple[str, str] = ("left_only", "right_only"), rows: int | None = None) -> DataFrame:
     """``keys, difference``: keys of one copy only (``names``), else one row per field that differs.
 
-    Both sides come from `latest_rows`: one row per key, fields in struct ``v``. Fields are equal
+    Both sides come from `latest_rows`: one row per key, fields in struct ``__v``. Fields are equal
     null-safe. Two empty copies have no differences; a copy compared with an empty one is all
     one-sided. Extra columns take no part.
     """
-    fields = left.schema["v"].dataType.names
-    left, right = ([d.select(*keys, "v").withColumn("pos", F.xxhash64(*[F.col(k) for k in keys])) for d in (left, right)])
+    fields = left.schema["__v"].dataType.names
+    left, right = ([d.select(*keys, "__v").withColumn("__pos", F.xxhash64(*[F.col(k) for k in keys])) for d in (left, right)])
     bits = leaf_bits(rows if rows is not None else left.count())
     leaves = mismatched_leaves(left, right, fields, bits)
     few = (1 << bits) <= BROADCAST_ROWS  # the leaves are at most this many
     leaves = F.broadcast(leaves) if few else leaves
-    near = [d.join(leaves, F.shiftrightunsigned("pos", 64 - bits) == F.col("range"), "left_semi") for d in (left, right)]
-    a = near[0].select(*keys, F.col("v").alias("a"))
-    b = near[1].select(*keys, F.col("v").alias("b"))
+    near = [d.join(leaves, F.shiftrightunsigned("__pos", 64 - bits) == F.col("range"), "left_semi") for d in (left, right)]
+    a = near[0].select(*keys, F.col("__v").alias("__a"))
+    b = near[1].select(*keys, F.col("__v").alias("__b"))
     both = a.join(b, keys, "full_outer")
-    kinds = F.when(F.col("b").isNull(), F.array(F.lit(names[0]))).when(F.col("a").isNull(), F.array(F.lit(names[1]))).otherwise(
-        F.array_compact(F.array(*[F.when(~F.col(f"a.{f}").eqNullSafe(F.col(f"b.{f}")), F.lit(f)) for f in fields]))
+    kinds = F.when(F.col("__b").isNull(), F.array(F.lit(names[0]))).when(F.col("__a").isNull(), F.array(F.lit(names[1]))).otherwise(
+        F.array_compact(F.array(*[F.when(~F.col(f"__a.{f}").eqNullSafe(F.col(f"__b.{f}")), F.lit(f)) for f in fields]))
     )
     return both.select(*keys, F.explode(kinds).alias("difference"))

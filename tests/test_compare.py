@@ -51,5 +51,11 @@ def test_empty_and_equal(spark):
     assert run(spark, [("a", None, 1, "x", 1)]) == []
 
 
+def test_keys_named_like_anything(spark):
+    df = spark.createDataFrame([("a", "k", 1, 1), ("b", "k", 2, 2)], "side string, v string, a int, pos long")
+    l, r = (compare.latest_rows(df.where(F.col("side") == s), ["v"], [F.col("a")], "pos") for s in "ab")
+    assert [tuple(x) for x in compare.compare_copies(l, r, ["v"]).collect()] == [("k", "a")]
+
+
 def test_ranges_grow_with_rows():
     assert compare.leaf_bits(0) == compare.FAN_BITS and compare.leaf_bits(10**12) > compare.leaf_bits(10**6) > compare.leaf_bits(10**3)
