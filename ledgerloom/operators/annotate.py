@@ -5,7 +5,7 @@ from __future__ import annotations
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import looks_numeric, short_number
@@ -57,9 +57,10 @@ def provenance(prov: Column) -> Column:
 
 def key_values(facts: DataFrame, doc: str, order: str) -> DataFrame:
     """Facts as key and value cells, 2i and 2i+1 in their document, with a link each (OP-N6)."""
-    listed = facts.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), "concept_id", "value_text"))).alias("f"))
-    each = listed.select(doc, F.posexplode("f").alias("i", "x"))
-    return each.select(doc, F.col("i").alias("link_no"), (F.col("i") * 2).alias("key_cell"), F.col("x.concept_id").alias("key_text"), (F.col("i") * 2 + 1).alias("value_cell"), F.coalesce("x.value_text", F.lit("")).alias("value_text"))
+    i = F.row_number().over(Window.partitionBy(doc).orderBy(order)) - 1
+    return facts.select(doc, i.alias("link_no"), "concept_id", "value_text").select(
+        doc, "link_no", (F.col("link_no") * 2).alias("key_cell"), F.col("concept_id").alias("key_text"), (F.col("link_no") * 2 + 1).alias("value_cell"), F.coalesce("value_text", F.lit("")).alias("value_text")
+    )
 
 
 def selectors(page: Column, bbox: Column, quote: Column) -> Column:

@@ -47,9 +47,38 @@ def voter_texts(cells: DataFrame, key: str, text: str, order: list[str]) -> Data
     return cells.groupBy(key, "voter").agg(F.array_join(F.transform(parts, lambda x: x["__t"]), "\n").alias("text"))
 
 
+def shown_numbers(text: Column, lengths: list[int]) -> Column:
+    """Every number of the given numbers of digits that `number_present` finds in a text, as texts.
+
+    Digits with only blanks between form a run; any piece of a run is a number that is present. A piece
+    that follows a minus, or stands in parentheses that hold nothing but an amount, is negative too.
+    """
+    t = plain_minus(text)
+    bare = lambda c: F.transform(c, lambda x: F.regexp_replace(x, r"(?U)\s", ""))
+    runs = bare(F.regexp_extract_all(t, F.lit(r"(?U)(-?[0-9](?:[0-9\s]*[0-9])?)"), F.lit(1)))
+    inner = bare(F.flatten(F.transform(F.regexp_extract_all(t, F.lit(r"(?U)\(\s*([\d\s.,]+)\s*\)"), F.lit(1)), lambda x: F.split(x, r"[.,]"))))
+    sizes = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
+    begins = lambda r: F.when(F.length(r) > 0, F.sequence(F.lit(1), F.length(r))).otherwise(F.array().cast("array<int>"))
+    pieces = lambda r: F.flatten(F.transform(begins(r), lambda i: F.transform(F.filter(sizes, lambda n: i + n - 1 <= F.length(r)), lambda n: F.substring(r, i, n))))
+    digits = F.flatten(F.transform(runs, lambda r: pieces(F.regexp_replace(r, "^-", ""))))
+    after_minus = F.flatten(F.transform(F.filter(runs, lambda r: r.startswith("-")), lambda r: F.transform(F.filter(sizes, lambda n: n < F.length(r)), lambda n: F.substring(r, F.lit(1), n + 1))))
+    in_parens = F.transform(F.flatten(F.transform(inner, pieces)), lambda x: F.concat(F.lit("-"), x))
+    return F.array_distinct(F.concat(digits, after_minus, in_parens))
+
+
 def hits(truth: DataFrame, texts: DataFrame, key: str) -> DataFrame:
-    """``key, n, voter, hit`` for every true number and voter of its key; computed once for all scores."""
-    return truth.join(texts, key).select(key, "n", "voter", number_present(F.col("n"), F.col("text")).alias("hit"))
+    """``key, n, voter, hit`` for every true number and voter of its key; computed once for all scores.
+
+    A voter hits a number that stands in one of its texts (a number does not go on into the next text).
+    Texts are turned into the numbers they show and joined by equality, so a key with a tenth of all
+    texts and numbers costs in proportion, not every number against every text.
+    """
+    sizes = sorted(r[0] for r in truth.select(F.length(F.abs("n").cast("string"))).distinct().collect())  # 19 at most
+    named = truth.select(key, "n", F.col("n").cast("string").alias("__s"))
+    shown = texts.select(key, "voter", F.explode(shown_numbers(F.col("text"), sizes)).alias("__s"))
+    found = shown.join(named, [key, "__s"]).select(key, "n", "voter").distinct().withColumn("__hit", F.lit(True))
+    grid = truth.join(texts.select(key, "voter").distinct(), key)
+    return grid.join(found, [key, "n", "voter"], "left").select(key, "n", "voter", F.coalesce("__hit", F.lit(False)).alias("hit"))
 
 
 def score_voters(found: DataFrame, key: str) -> DataFrame:

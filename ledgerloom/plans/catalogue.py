@@ -29,6 +29,11 @@ def _side(spark: SparkSession, d: str, source: str) -> DataFrame:
     return keyed.where(F.col("orgnr").isNotNull() & F.col("concept_id").isNotNull() & F.col("period_end").isNotNull())
 
 
+def _filing():
+    """An organisation's filing of a period; unlike an organisation it doesn't grow with the data."""
+    return F.concat_ws("/", "orgnr", "period_end")
+
+
 def diff_entries(spark, d):
     return drift.diff_entries(_side(spark, d, "v1"), _side(spark, d, "v2"), "last", "last").withColumn("rel_delta", F.round("rel_delta", 6))
 
@@ -578,7 +583,16 @@ _TRUTH = "truth AS (SELECT DISTINCT orgnr, round_even(v, 0)::BIGINT AS n FROM (S
 
 
 def _voter_texts(spark, d):
-    return score.voter_texts(table(spark, d, "voter_tokens"), "orgnr", "full_text", ["vt_id"])
+    return table(spark, d, "voter_tokens").select("orgnr", "voter", F.coalesce("full_text", F.lit("")).alias("text"))
+
+
+def page_texts(spark, d):
+    """Each voter's cells of a page as one text."""
+    c = _cells(spark, d).withColumn("page", F.concat_ws("/", "doc_id", "page_no"))
+    return score.voter_texts(c, "page", "text", ["cell_idx", "cell_id"])
+
+
+_PAGE_TEXTS = "SELECT concat_ws('/', doc_id, page_no) AS page, voter, string_agg(coalesce(text, ''), chr(10) ORDER BY cell_idx, cell_id) AS text FROM cells GROUP BY ALL"
 
 
 def _hits(spark, d):
@@ -605,13 +619,13 @@ def voter_recall(spark, d):
     return score.voter_recall(_hits(spark, d))
 
 
-# groups with blanks between are looked for in the text without any blanks, each number with its sign
+# a number's digits may have blanks between; a page is one text
 _HITS = rf"""
 {_TRUTH},
-vt AS (SELECT orgnr, voter, translate(string_agg(coalesce(full_text, ''), chr(10) ORDER BY vt_id), '‐‑‒–—−', '------') AS t FROM voter_tokens GROUP BY ALL),
+vt AS (SELECT orgnr, voter, translate(coalesce(full_text, ''), '‐‑‒–—−', '------') AS t FROM voter_tokens),
 j AS (SELECT orgnr, n, voter, t, abs(n)::VARCHAR AS s FROM truth JOIN vt USING (orgnr)),
-h AS (SELECT orgnr, n, voter, regexp_matches(t, CASE WHEN n < 0 THEN '-' ELSE '' END || regexp_replace(s, '([0-9])', '\1{WS_OUT}*', 'g'))
-  OR (n < 0 AND len(list_filter(regexp_extract_all(t, '\({WS}*([\p{{Nd}}\p{{Z}}\t\n\x0B\f\r\x{{85}}.,]+){WS}*\)', 1), lambda x: regexp_matches(x, regexp_replace(s, '([0-9])', '\1{WS_OUT}*', 'g')))) > 0) AS hit FROM j)
+h AS (SELECT orgnr, n, voter, bool_or(regexp_matches(t, CASE WHEN n < 0 THEN '-' ELSE '' END || regexp_replace(s, '([0-9])', '\1{WS_OUT}*', 'g'))
+  OR (n < 0 AND len(list_filter(regexp_extract_all(t, '\({WS}*([\p{{Nd}}\p{{Z}}\t\n\x0B\f\r\x{{85}}.,]+){WS}*\)', 1), lambda x: regexp_matches(x, regexp_replace(s, '([0-9])', '\1{WS_OUT}*', 'g')))) > 0)) AS hit FROM j GROUP BY ALL)
 """
 _SCORE_CONSENSUS = "SELECT orgnr, n, coalesce(string_agg(voter, ',' ORDER BY voter) FILTER (hit), '') AS voters_hit, count(*) FILTER (hit)::INT AS n_hit, count(*) AS n_voters, count(*) FILTER (hit) = count(*) AS unanimous, count(*) FILTER (hit) >= 2 AS reliable FROM h GROUP BY ALL"
 
@@ -662,19 +676,19 @@ SELECT rec_id, e.key AS label, 'x:' || e.key AS concept_id, 1 AS col_no, e.value
 
 
 def key_values(spark, d):
-    f = table(spark, d, "ixbrl_facts").select("orgnr", "fact_id", "concept_id", F.col("value_text"))
-    return annotate.key_values(f, "orgnr", "fact_id")
+    f = table(spark, d, "ixbrl_facts").select(_filing().alias("filing"), "fact_id", "concept_id", "value_text")
+    return annotate.key_values(f, "filing", "fact_id")
 
 
 _KEY_VALUES = """
-WITH f AS (SELECT orgnr, fact_id, concept_id, coalesce(value_text, '') AS value_text, (row_number() OVER (PARTITION BY orgnr ORDER BY fact_id) - 1)::INT AS i FROM ixbrl_facts)
-SELECT orgnr, i AS link_no, i * 2 AS key_cell, concept_id AS key_text, i * 2 + 1 AS value_cell, value_text FROM f"""
+WITH f AS (SELECT concat_ws('/', orgnr, period_end) AS filing, fact_id, concept_id, coalesce(value_text, '') AS value_text, (row_number() OVER (PARTITION BY concat_ws('/', orgnr, period_end) ORDER BY fact_id) - 1)::INT AS i FROM ixbrl_facts)
+SELECT filing, i AS link_no, i * 2 AS key_cell, concept_id AS key_text, i * 2 + 1 AS value_cell, value_text FROM f"""
 
 
 def _annotated(spark, d):
     t = table(spark, d, "ixbrl_facts")
     f = t.select(
-        "fact_id", F.col("orgnr").alias("source"), F.lit(1).alias("page_no"), geometry.box(F.lit(1.5), F.lit(2.0), F.lit(30.25), F.lit(12.0)).alias("bbox"), "concept_id", F.coalesce("value_text", F.col("value_num").cast("string")).alias("value_text"),
+        "fact_id", _filing().alias("source"), F.lit(1).alias("page_no"), geometry.box(F.lit(1.5), F.lit(2.0), F.lit(30.25), F.lit(12.0)).alias("bbox"), "concept_id", F.coalesce("value_text", F.col("value_num").cast("string")).alias("value_text"),
         F.array(F.lit("tesseract")).alias("voters_hit"), F.lit(1).alias("voters_total"), F.lit(None).cast("array<string>").alias("dropped"), F.lit(None).cast("string").alias("period_start"), "period_end", F.lit(None).cast("map<string,string>").alias("dimensions"),
     )
     return annotate.annotations(f, table(spark, d, "concepts"))
@@ -716,8 +730,8 @@ _XBRL_CONTEXTS = f"WITH {_XBRL} SELECT context_id, min(period_type) AS period_ty
 
 def xbrl_documents(spark, d):
     t = table(spark, d, "ixbrl_facts")
-    x = _exchanged(spark, d).join(t.select("fact_id", "orgnr"), "fact_id")
-    return annotate.exchange_documents(x, "orgnr", "schema.xsd")
+    x = _exchanged(spark, d).join(t.select("fact_id", _filing().alias("filing")), "fact_id")
+    return annotate.exchange_documents(x, "filing", "schema.xsd")
 
 
 # schemas and files -----------------------------------------------------
@@ -818,6 +832,7 @@ QUERIES = {
     "lookup_children": lookup_children,
     "concept_cards": concept_cards,
     "truth_numbers": truth_numbers,
+    "page_texts": page_texts,
     "number_present": number_present,
     "score_voters": score_voters,
     "score_consensus": score_consensus,
@@ -877,6 +892,7 @@ SQL = {
     "standard_labels": _STANDARD,
     "listed_concepts": "SELECT concept_id, data_type FROM concepts WHERE status = 'standard'",
     "lookup_children": "SELECT n_name AS child_id, n_nationkey AS \"order\" FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'",
+    "page_texts": _PAGE_TEXTS,
     "truth_numbers": f"WITH {_TRUTH} SELECT * FROM truth",
     "number_present": f"WITH {_HITS} SELECT orgnr, n, voter, hit FROM h",
     "score_voters": f"WITH {_HITS} SELECT orgnr, voter, count(*) FILTER (hit) AS hits, count(*) AS total, round(count(*) FILTER (hit) / count(*), 6) AS recall, coalesce(string_agg(n::VARCHAR, ',' ORDER BY n) FILTER (NOT hit), '') AS missed FROM h GROUP BY ALL",

@@ -76,6 +76,19 @@ def test_number_present(spark, n, t, hit):
     assert spark.createDataFrame([(float(n), t)], "n double, t string").select(score.number_present(F.col("n"), F.col("t")).alias("h")).first().h is hit
 
 
+def test_shown_numbers_are_those_present(spark):
+    """The join finds what the test of each number against each text finds."""
+    import random
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(["1", "2", "3", " ", " ", "-", "(", ")", ",", ".", "a", "\n", "−"], k=rng.randint(0, 30))) for _ in range(150)] + ["( 12 3 )", "-1 2", "(1,23)", "1" * 3000]
+    numbers = [n for n in range(-130, 131) if n] + [1231, -2313]
+    t = spark.createDataFrame([(str(i % 7), str(i), x) for i, x in enumerate(texts)], "k string, voter string, text string")
+    truth = spark.createDataFrame([(str(k), n) for k in range(7) for n in rng.sample(numbers, 60)], "k string, n long")
+    slow = truth.join(t, "k").select("k", "n", "voter", score.number_present(F.col("n"), F.col("text")).alias("hit"))
+    assert sorted(map(tuple, score.hits(truth, t, "k").collect())) == sorted(map(tuple, slow.collect()))
+
+
 def test_scores(spark):
     truth = spark.createDataFrame([("1", 100), ("1", 200), ("2", 300)], "k string, n long")
     texts = spark.createDataFrame([("1", "a", "100 og 200"), ("1", "b", "200"), ("2", "a", ""), ("3", "a", "x")], "k string, voter string, text string")
