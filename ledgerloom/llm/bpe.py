@@ -24,7 +24,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 #: Distinct pieces that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:

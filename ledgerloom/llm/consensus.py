@@ -117,8 +117,8 @@ class Model:
                 got = AGAIN
                 for part in s.split("|"):
                     got *= self.slipped(v, kind, part) / (1 - self.competence(v))
-                self.memo[v, kind, s] = got = max(FLOOR * FLOOR, got * (1 - self.competence(v)))
-                return got
+                # not remembered: there are too many kinds of several slips
+                return max(FLOOR * FLOOR, got * (1 - self.competence(v)))
             base = (self.slips.get(kind, {}).get(s, 0.0) + 0.5) / (self.total.get(kind, 0.0) + 200.0)
             own = self.guess.get((v, kind), {})
             share = (own.get(s, 0.0) + self.strength * base) / (self.guessed.get((v, kind), 0.0) + self.strength)
