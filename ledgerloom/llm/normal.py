@@ -64,6 +64,8 @@ def is_stable(ch: str) -> bool:
 
 
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
+#: ASCII and the composed Latin letters of Western Europe: stable by the quick check, passed over at once.
+_SURELY_STABLE = re.compile(r"[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*\Z")
 _WORD = re.compile(r"[^\W_]+")
 _COMPOUND = re.compile(r"(?:[^\W_]|[\u0300-\u036f])+(?:[-'~^./|*](?:[^\W_]|[\u0300-\u036f])+)*")
 
@@ -120,7 +122,7 @@ def consistent(text: str | None, known=frozenset()) -> str | None:
     are words (lower case) that count as Latin even when every letter is a look-alike. The form is a
     fixed point.
     """
-    if text is None or text.isascii():
+    if text is None or text.isascii() or _SURELY_STABLE.match(text):
         return text
     parts, at, changed = [], 0, False
     spots = []
