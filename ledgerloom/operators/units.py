@@ -210,6 +210,8 @@ def in_common_units(df: DataFrame, kind: str, number: str, text: str, unit: str,
     def amount(v: pd.Series, a: pd.Series, b: pd.Series, s: pd.Series) -> pd.Series:
         return pd.Series([None if x is None else micro(x, i, j, int(k)) for x, i, j, k in zip(v, a, b, s)], dtype="Int64")
 
+    amount = amount.asNondeterministic()  # a filter on the result would have it computed once more
+
     common = F.create_map(*[F.lit(x) for kv in COMMON.items() for x in kv])
     changed: Column = F.col("__q.from_text") | (up != "1") | (down != "1") | (scale != 1)
     out = q.withColumn("amount_micro", amount(F.col("__q.value"), up, down, F.coalesce(scale, F.lit(1).cast("long"))))
