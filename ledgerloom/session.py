@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,13 +57,25 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def _shared_folder(sc) -> str | None:
+    """A folder of this session in the shared one, if the session names one that is mounted here."""
+    shared = (sc.getConf().get("spark.checkpoint.dir") or "").removeprefix("file://")
+    if not shared.startswith("/"):
+        return None
+    try:
+        os.makedirs(folder := os.path.join(shared, f"code-{uuid.uuid4().hex}"))
+    except OSError:
+        return None
+    return folder
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once a session."""
     sc = spark.sparkContext
     if getattr(sc, "_ledgerloom_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    to = os.path.join(tempfile.mkdtemp(prefix="ledgerloom-"), "ledgerloom.zip")
+    to = os.path.join(_shared_folder(sc) or tempfile.mkdtemp(prefix="ledgerloom-"), "ledgerloom.zip")
     with zipfile.ZipFile(to, "w") as z:
         for folder, _, names in os.walk(root):
             for n in names:
