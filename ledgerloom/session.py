@@ -52,11 +52,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def _shared_folder(sc) -> str | None:
     """A folder of this session in the shared one, if the session names one that is mounted here."""
     shared = (sc.getConf().get("spark.checkpoint.dir") or "").removeprefix("file://")
