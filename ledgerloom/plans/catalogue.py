@@ -256,7 +256,7 @@ def split_lines(spark, d):
 _LINES = rf"""
 WITH a AS (SELECT vt_id, list_filter(list_transform(string_split(full_text, chr(10)), lambda x: regexp_replace(x, '^{WS}+|{WS}+$', '', 'g')), lambda x: x <> '') AS ls FROM voter_tokens),
 b AS (SELECT vt_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM a)
-SELECT vt_id, pos, line, 0.95 AS confidence FROM b"""
+SELECT vt_id, pos::INT AS pos, line, 0.95::DOUBLE AS confidence FROM b"""
 
 
 # boxes -----------------------------------------------------------------
@@ -482,7 +482,7 @@ def line_words(spark, d):
 
 
 _LINE_WORDS = """
-SELECT l_orderkey, l_returnflag, string_agg(l_linestatus, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus) AS text, round(avg(l_quantity) / 100, 6) AS confidence, min(l_linenumber) * 10.0 AS l, max(l_linenumber * 10.0 + length(l_linestatus)) AS r
+SELECT l_orderkey, l_returnflag, string_agg(l_linestatus, ' ' ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus) AS text, round(avg(l_quantity) / 100, 6) AS confidence, (min(l_linenumber) * 10.0)::DOUBLE AS l, max(l_linenumber * 10.0 + length(l_linestatus))::DOUBLE AS r
 FROM lineitem WHERE trim(l_linestatus) <> '' AND l_quantity >= 0 GROUP BY ALL"""
 
 
