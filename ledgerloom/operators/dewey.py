@@ -20,6 +20,8 @@ from pyspark.sql import types as T
 #: Names whose arrays of objects make a lone object an element are kept in the plan up to this many.
 #: They are schema names and so do not grow with the rows; beyond it they are joined per record.
 NAMES_IN_PLAN = 5_000
+#: A flat table gets a column for each member found up to this many; beyond it the further ones share a map.
+MOST_COLUMNS = 1_000
 
 NODE = T.StructType(
     [
@@ -94,7 +96,12 @@ def nodes_of(root, lone: frozenset[str] | set[str]) -> Iterator[tuple[list[str],
                     v = [v]
                 if isinstance(v, (dict, list)):
                     below.append(([*dewey, str(i)], [*steps, k], [*schema, k], k, v))
-                if not isinstance(v, dict) and not (isinstance(v, list) and any(isinstance(_held(x), dict) for x in v)):
+                if isinstance(v, list) and any(isinstance(_held(x), dict) for x in v):
+                    # scalars among objects, each at its position
+                    scalars = [None if isinstance(_held(x), (dict, list)) else x for x in v]
+                    if any(x is not None for x in scalars):
+                        fields[k] = _text(scalars)
+                elif not isinstance(v, dict):
                     fields[k] = _text(v)
             yield dewey, steps, ".".join(schema) or "$", fields
         else:
@@ -199,16 +206,60 @@ def element_links(nodes: DataFrame, key: str) -> DataFrame:
     )
 
 
-def flat_table(nodes: DataFrame, key: str, schema_path: str, columns: list[str]) -> DataFrame:
-    """The objects of one schema path as a flat table with links to their record and parent.
+def holder_path(steps: Column) -> Column:
+    """The path of the object that directly holds one, array element or not; null for the root."""
+    return F.when(F.size(steps) > 0, path_of(steps, F.size(steps) - 1))
 
-    ``columns`` are the scalar members wanted, as text; absent members are null. The link columns are
-    ``key, node_path, parent_path``; a member of the same name is suffixed ``_value``.
-    """
-    taken = {key, "node_path", "parent_path"}
-    return nodes.where(F.col("schema_path") == schema_path).select(
+
+def _links(key: str) -> list:
+    """The link columns of flat tables; the root has neither parent nor holder."""
+    steps = F.col("steps")
+    return [
         key,
-        path_of(F.col("steps"), F.size("steps")).alias("node_path"),
-        path_of(F.col("steps"), parent_depth(F.col("dewey"))).alias("parent_path"),
-        *[F.col("fields")[c].alias(f"{c}_value" if c in taken else c) for c in columns],
-    )
+        path_of(steps, F.size(steps)).alias("node_path"),
+        F.when(F.size(steps) > 0, path_of(steps, parent_depth(F.col("dewey")))).alias("parent_path"),
+        holder_path(steps).alias("holder_path"),
+    ]
+
+
+def flat_table(nodes: DataFrame, key: str, schema_path: str, columns: list[str], found: bool = False) -> DataFrame:
+    """The objects of one schema path as a flat table with links to their record, parent and holder.
+
+    ``columns`` are the scalar members wanted, as text; absent members are null. With ``found`` every
+    further member that an object of the path has anywhere in the input follows by name, which takes
+    one more pass; more than ``MOST_COLUMNS`` of them share the map ``more_members``. The link columns
+    are ``key, node_path, parent_path, holder_path``: the parent is the nearest array element around,
+    the holder the object directly around, ``$`` the root. A member whose name is taken, in any case
+    of letters, is suffixed ``_value``.
+    """
+    rows = nodes.where(F.col("schema_path") == schema_path)
+    more = []
+    if found:
+        names = rows.select(F.explode(F.map_keys("fields")).alias("name")).where(~F.col("name").isin(columns)).distinct()
+        more = sorted(r.name for r in names.limit(MOST_COLUMNS + 1).collect())
+    taken = {x.lower() for x in (key, "node_path", "parent_path", "holder_path")}
+
+    def free(name: str) -> str:
+        while name.lower() in taken:
+            name += "_value"
+        taken.add(name.lower())
+        return name
+
+    if len(more) > MOST_COLUMNS:
+        wanted = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+        last = [F.map_filter("fields", lambda k, _: ~F.array_contains(wanted, k)).alias("more_members")]
+        taken.add("more_members")
+        more = []
+    else:
+        last = []
+    return rows.select(*_links(key), *[F.col("fields")[c].alias(free(c)) for c in [*columns, *more]], *last)
+
+
+def other_objects(nodes: DataFrame, key: str, schema_paths: list[str]) -> DataFrame:
+    """``key, node_path, parent_path, holder_path, schema_path, member, value``: the objects of all other schema paths.
+
+    One row per scalar member, so that kinds of object nobody foresaw are carried whole; an object
+    without scalar members has one row with null ``member``.
+    """
+    rest = nodes.where(~F.col("schema_path").isin(schema_paths))
+    return rest.select(*_links(key), "schema_path", F.explode_outer("fields").alias("member", "value"))

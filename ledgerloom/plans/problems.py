@@ -10,9 +10,10 @@ from ledgerloom.operators import compare, dewey, units
 from ledgerloom.session import spread
 from ledgerloom.sources.tables import table
 
-#: The kinds of object in a filing, by schema path, and their scalar members.
+#: The kinds of object in a filing, by schema path, and their scalar members. Members found
+#: besides these get columns too; kinds of object besides these are rows of ``p1_others``.
 FILING_TABLES = {
-    "notes": ("noter[]", ["noteNr", "tittel", "merknader"]),
+    "notes": ("noter[]", ["noteNr", "tittel", "merknader", "tabell"]),
     "items": ("noter[].poster[]", ["navn", "belop"]),
     "subitems": ("noter[].poster[].delposter[]", ["navn", "belop"]),
     "seats": ("styre[]", ["rolle", "personRef"]),
@@ -20,6 +21,26 @@ FILING_TABLES = {
     "addresses": ("virksomhet.adresser[]", ["type", "poststed", "linjer"]),
     "remarks": ("revisjon.anmerkninger[]", ["kode", "tekst"]),
     "comparisons": ("regnskapsperiode.sammenligning[]", ["aar"]),
+    "comparison_figures": ("regnskapsperiode.sammenligning[].tall", ["sumEiendeler"]),
+    "records": ("$", ["id", "journalnr", "regnskapstype", "valuta"]),
+    "companies": ("virksomhet", ["organisasjonsnummer", "organisasjonsform", "morselskap"]),
+    "periods": ("regnskapsperiode", ["fraDato", "tilDato"]),
+    "audits": ("revisjon", ["fravalgRevisjon"]),
+    "assets": ("eiendeler", ["sumEiendeler"]),
+    "fixed_assets": ("eiendeler.anleggsmidler", ["sumAnleggsmidler"]),
+    "current_assets": ("eiendeler.omloepsmidler", ["sumOmloepsmidler"]),
+    "equity_and_debt": ("egenkapitalGjeld", ["sumEgenkapitalGjeld"]),
+    "equity": ("egenkapitalGjeld.egenkapital", ["sumEgenkapital"]),
+    "debt": ("egenkapitalGjeld.gjeldOversikt", ["sumGjeld"]),
+    "short_term_debt": ("egenkapitalGjeld.gjeldOversikt.kortsiktigGjeld", ["sumKortsiktigGjeld"]),
+    "long_term_debt": ("egenkapitalGjeld.gjeldOversikt.langsiktigGjeld", ["sumLangsiktigGjeld"]),
+    "results": ("resultatregnskapResultat", ["aarsresultat"]),
+    "operating_results": ("resultatregnskapResultat.driftsresultat", ["driftsresultat"]),
+    "operating_income": ("resultatregnskapResultat.driftsresultat.driftsinntekter", ["sumDriftsinntekter"]),
+    "operating_costs": ("resultatregnskapResultat.driftsresultat.driftskostnad", ["sumDriftskostnad"]),
+    "financial_results": ("resultatregnskapResultat.finansresultat", ["nettoFinans"]),
+    "financial_income": ("resultatregnskapResultat.finansresultat.finansinntekt", ["sumFinansinntekter"]),
+    "financial_costs": ("resultatregnskapResultat.finansresultat.finanskostnad", ["sumFinanskostnad"]),
 }
 
 
@@ -34,11 +55,15 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def _filing_table(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         path, columns = FILING_TABLES[name]
-        return dewey.flat_table(filing_nodes(spark, d), "rec_id", path, columns)
+        return dewey.flat_table(filing_nodes(spark, d), "rec_id", path, columns, found=True)
 
     return run
 
 
+def p1_others(spark: SparkSession, d: str) -> DataFrame:
+    return dewey.other_objects(filing_nodes(spark, d), "rec_id", [path for path, _ in FILING_TABLES.values()])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return _quantities(spark, d).where("converted").select("fact_id", "common_unit", "amount_micro")
 
@@ -95,6 +120,7 @@ SELECT * FROM (SELECT orgnr, concept_id, period_end, unnest(kinds) AS difference
 QUERIES = {
     "p1_found": p1_found,
     **{f"p1_{name}": _filing_table(name) for name in FILING_TABLES},
+    "p1_others": p1_others,
     "p5_found": p5_found,
     "p5_quantities": p5_quantities,
     "p6_found": p6_found,

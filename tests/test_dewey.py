@@ -3,6 +3,7 @@ import json
 import pytest
 
 from ledgerloom.operators import dewey
+from ledgerloom.plans import problems
 
 ROWS = [
     (1, json.dumps({"noter": [{"nr": 1, "poster": [{"b": 1}, None, 5, {"b": 2, "delposter": '[{"x": 1}]'}]}, "text", {"nr": 2}], "andre": {"c": 1}})),
@@ -83,6 +84,38 @@ def test_flat_table_links_and_clashing_members(spark):
     assert (r.id, r.node_path, r.parent_path, r.id_value, r.v, r.missing) == (1, "a[0]", "$", "x", "1", None)
 
 
+def test_flat_table_has_all_members_and_holders(spark, monkeypatch):
+    rows = [(1, json.dumps({"id": 7, "s": {"sum": 5, "t": [{"v": 1, "x": None}, {"w": [1, 2], "W": 3}]}}))]
+    nodes = dewey.label_nodes(spark.createDataFrame(rows, "id long, j string"), "id", "j")
+    df = dewey.flat_table(nodes, "id", "s.t[]", ["v"], found=True)
+    assert df.columns == ["id", "node_path", "parent_path", "holder_path", "v", "W", "w_value", "x"]
+    assert sorted(map(tuple, df.collect()), key=str) == [(1, "s.t[0]", "$", "s", "1", None, None, None), (1, "s.t[1]", "$", "s", None, "3", "[1, 2]", None)]
+    assert [tuple(r) for r in dewey.flat_table(nodes, "id", "$", [], found=True).collect()] == [(1, "$", None, None, "7")]
+    assert [tuple(r) for r in dewey.other_objects(nodes, "id", ["$", "s.t[]"]).collect()] == [(1, "s", "$", "$", "s", "sum", "5")]
+    monkeypatch.setattr(dewey, "MOST_COLUMNS", 1)
+    df = dewey.flat_table(nodes, "id", "s.t[]", ["v"], found=True)
+    assert {r.node_path: r.more_members for r in df.collect()} == {"s.t[0]": {"x": None}, "s.t[1]": {"w": "[1, 2]", "W": "3"}}
+
+
+def test_scalars_among_objects_stay_at_their_position():
+    root = {"styre": [{"r": 1}, "ubesatt", None], "poster": [{"b": 1}, None]}
+    assert next(dewey.nodes_of(root, frozenset()))[3] == {"styre": '[null, "ubesatt", null]'}
+
+
+def test_every_object_and_member_of_filings_is_in_a_table(spark, data):
+    nodes = problems.filing_nodes(spark, data).select("rec_id", "schema_path", "fields", "steps").collect()
+    links = {"rec_id", "node_path", "parent_path", "holder_path"}
+    rows = members = 0
+    for name in problems.FILING_TABLES:
+        for r in problems.QUERIES[f"p1_{name}"](spark, data).collect():
+            rows += 1
+            members += sum(v is not None for k, v in r.asDict().items() if k not in links)
+    others = problems.p1_others(spark, data).collect()
+    rows += len({(r.rec_id, r.node_path) for r in others})
+    members += sum(r.value is not None for r in others)
+    assert rows == len(nodes) and members == sum(v is not None for n in nodes for v in n.fields.values())
+
+
 def test_empty_repeated_and_deep(spark):
     assert found(dewey.label_nodes(spark.createDataFrame([], "id long, j string"), "id", "j")) == []
     twice = spark.createDataFrame([(1, '{"a": [{"b": 1}]}')] * 2, "id long, j string")
