@@ -72,18 +72,24 @@ def p3_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return texts[0].unionByName(texts[1])
 
 
+#: The tables with texts in mixed encoding: table, key, text.
+ENCODED = [("cells", "cell_id", "text"), ("token_consensus", "tc_id", "sample_text")]
+
+
+def _encoded(spark: SparkSession, d: str) -> list[DataFrame]:
+    return [table(spark, d, name).select(F.lit(name).alias("tab"), F.col(key).alias("row_id"), F.col(text).alias("text")) for name, key, text in ENCODED]
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     known = _known_words(spark, d)
-    parts = [
-        normal.changed_rows(table(spark, d, name).select(F.lit(name).alias("tab"), F.col(key).alias("row_id"), F.col(text).alias("text")), "text", known).select("tab", "row_id")
-        for name, key, text in (("cells", "cell_id", "text"), ("token_consensus", "tc_id", "sample_text"))
-    ]
+    parts = [normal.changed_rows(df, "text", known).select("tab", "row_id") for df in _encoded(spark, d)]
     return parts[0].unionByName(parts[1])
 
 
 def p4_texts(spark: SparkSession, d: str) -> DataFrame:
-    cells = table(spark, d, "cells").select("cell_id", "text")
-    return normal.with_consistent(cells, "text", _known_words(spark, d)).select("cell_id", "consistent_text")
+    known = _known_words(spark, d)
+    parts = [normal.with_consistent(df, "text", known).select("tab", "row_id", "consistent_text") for df in _encoded(spark, d)]
+    return parts[0].unionByName(parts[1])
 
 
 def _prefer(concept: str) -> tuple[bool, str]:

@@ -26,3 +26,11 @@ def test_runs(spark, data, name):
         assert len(rows) == spark.read.parquet(f"{data}/resolutions.parquet").count()
     if name in ("p8_ids", "p10_scores"):
         assert len(rows) == spark.read.parquet(f"{data}/documents.parquet").count()
+
+
+def test_consistent_texts_of_both_tables(spark, data):
+    """Every row of both tables has its text, and those that p4_found lists are the ones that differ."""
+    texts = {(r.tab, r.row_id): r.consistent_text for r in queries.p4_texts(spark, data).collect()}
+    given = {(t, r[0]): r[1] for t, k, c in queries.ENCODED for r in spark.read.parquet(f"{data}/{t}.parquet").select(k, c).collect()}
+    assert {t for t, _ in given} == {"cells", "token_consensus"} and texts.keys() == given.keys()
+    assert {k for k in texts if texts[k] != given[k]} == {tuple(r) for r in queries.p4_found(spark, data).collect()}
