@@ -5,7 +5,9 @@ from the annotator's personal guess distribution; expectation-maximisation over
 and from them a posterior over each item's candidate labels. Labels are open strings here, so guesses
 are distributions over the kind of slip that turns one candidate into another (a letter for another, a
 lost group of digits), which items share. Annotators that make the same slips (engines of one family)
-would outvote the rest; how often a slip of one is shared by another is estimated as well.
+would outvote the rest; how often a slip of one is shared by another is estimated as well. An attempt
+that gave no reading is an outcome of its own: its chance depends on the annotator and not on which
+label is true, so it lowers agreement and reliability but leaves the choice among candidates as it is.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from ledgerloom.session import checkpoint, fan_out
 #: Parameters are kept on the driver up to this many; they grow with annotators, not with items.
 MOST_PARAMETERS = 2_000_000
 
-ITEM = "item string, kind string, labels array<string>, voters array<array<string>>, prior array<double>, slips array<string>, given int"
+ITEM = "item string, kind string, labels array<string>, voters array<array<string>>, prior array<double>, failed array<string>, slips array<string>, given int"
 #: Least share of a slip, and the chance of further slips in one label.
 FLOOR, AGAIN = 1e-4, 0.3
 
@@ -56,50 +58,54 @@ def slip(true: str, read: str) -> str:
     return "twice" if 0 < i + j and i + j >= max(len(a), len(b)) - 3 else "other"
 
 
-def items_of(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped: str | None = None) -> DataFrame:
+def items_of(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped: str | None = None, attempted: str | None = None) -> DataFrame:
     """One row per item with its candidate labels, who gave each, and the label's share among all items.
 
     Annotator names are compared without case and outer blanks; repeated rows and names count once.
     Annotators listed in ``dropped`` on any row of an item are left out of that item, unless nobody
-    would remain. A candidate with a null list of annotators stays, given by nobody; rows with a null
-    label take no part.
+    would remain. Annotators listed in ``attempted`` on any row of an item that gave none of its
+    readings and aren't dropped are ``failed``. A candidate with a null list of annotators stays, given
+    by nobody; rows with a null label take no part.
     """
     names = lambda c: F.array_distinct(F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda v: F.lower(F.trim(v))), lambda v: v.isNotNull() & (v != "")))
+    none = F.array().cast("array<string>")
     rows = df.where(F.col(item).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(item).alias("item"), F.coalesce(F.col(kind), F.lit("")).alias("kind"), F.col(label).cast("string").alias("label"), names(hit).alias("hit"), (names(dropped) if dropped else F.array().cast("array<string>")).alias("out")
+        F.col(item).alias("item"), F.coalesce(F.col(kind), F.lit("")).alias("kind"), F.col(label).cast("string").alias("label"), names(hit).alias("hit"), (names(dropped) if dropped else none).alias("out"), (names(attempted) if attempted else none).alias("tried")
     )
-    one = rows.groupBy("item", "kind", "label").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("hit")))).alias("hit"), F.array_distinct(F.flatten(F.collect_set("out"))).alias("out"))
+    one = rows.groupBy("item", "kind", "label").agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("hit", "out", "tried")])
     support = one.where(F.size("hit") >= 2).groupBy("kind", "label").agg(F.count("*").alias("support"))
     one = one.join(support, ["kind", "label"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
     per = fan_out(one, "item", "kind").groupBy("item", "kind").agg(
-        F.array_sort(F.collect_list(F.struct("label", "hit", "support"))).alias("c"), F.array_distinct(F.flatten(F.collect_list("out"))).alias("out")
+        F.array_sort(F.collect_list(F.struct("label", "hit", "support"))).alias("c"), F.array_distinct(F.flatten(F.collect_list("out"))).alias("out"), F.array_distinct(F.flatten(F.collect_list("tried"))).alias("tried")
     )
     kept = F.transform("c", lambda x: F.filter(x["hit"], lambda v: ~F.array_contains(F.col("out"), v)))
     someone = F.exists(kept, lambda v: F.size(v) > 0)
+    failed = F.array_sort(F.array_except(F.array_except("tried", F.flatten("c.hit")), "out"))
     return per.select(
-        "item", "kind", F.col("c.label").alias("labels"), F.when(someone, kept).otherwise(F.col("c.hit")).alias("voters"), F.transform("c", lambda x: x["support"].cast("double")).alias("prior")
+        "item", "kind", F.col("c.label").alias("labels"), F.when(someone, kept).otherwise(F.col("c.hit")).alias("voters"), F.transform("c", lambda x: x["support"].cast("double")).alias("prior"), failed.alias("failed")
     )
 
 
 def _with_slips(items: DataFrame, key_type: str) -> DataFrame:
-    schema = f"item {key_type}, kind string, labels array<string>, voters array<array<string>>, prior array<double>, slips array<string>"
+    schema = f"item {key_type}, kind string, labels array<string>, voters array<array<string>>, prior array<double>, failed array<string>, slips array<string>"
 
     def run(batches):
         for pdf in batches:
             pdf = pdf.copy()
             pdf["slips"] = [[slip(t, r) for t in ls for r in ls] for ls in pdf["labels"]]
             pdf["voters"] = [[list(v) for v in vs] for vs in pdf["voters"]]
-            yield pdf[["item", "kind", "labels", "voters", "prior", "slips"]]
+            yield pdf[["item", "kind", "labels", "voters", "prior", "failed", "slips"]]
 
     return items.mapInPandas(run, schema)
 
 
 class Model:
-    """Competence and shared slips of every annotator, and its guesses per kind of item."""
+    """Competence, failures and shared slips of every annotator, and its guesses per kind of item."""
 
-    def __init__(self, right=None, wrong=None, guess=None, slips=None, shared=None, seen=None, strength: float = 20.0, families: bool = True):
+    def __init__(self, right=None, wrong=None, guess=None, slips=None, shared=None, seen=None, strength: float = 20.0, families: bool = True, failed=None):
         self.right, self.wrong, self.guess = right or {}, wrong or {}, guess or {}
         self.slips, self.shared, self.seen, self.strength, self.families = slips or {}, shared or {}, seen or {}, strength, families
+        self.failed = failed or {}
         self.total = {k: sum(v.values()) for k, v in self.slips.items()}
         self.guessed = {v: sum(g.values()) for v, g in self.guess.items()}
         r, w = sum(self.right.values()), sum(self.wrong.values())
@@ -110,6 +116,14 @@ class Model:
         r, w = self.right.get(v, 0.0), self.wrong.get(v, 0.0)
         return min(0.999, max(0.02, (r + self.strength * self.mean) / (r + w + self.strength)))
 
+    def votes(self, v: str) -> float:
+        return self.right.get(v, 0.0) + self.wrong.get(v, 0.0)
+
+    def answered(self, v: str) -> float:
+        """Share of the annotator's attempts that gave a reading."""
+        tried = self.votes(v) + self.failed.get(v, 0.0)
+        return self.votes(v) / tried if tried else 1.0
+
     def slipped(self, v: str, kind: str, s: str) -> float:
         """Chance that v reads something else by slip ``s``; several letters read wrong are several slips."""
         if (got := self.memo.get((v, kind, s))) is None:
@@ -174,8 +188,10 @@ def _statistics(items: DataFrame, model, first: bool) -> Model:
         m = shared_model.value
         total: dict[tuple, float] = defaultdict(float)
         for pdf in batches:
-            for kind, voters, prior, slips in zip(pdf["kind"], pdf["voters"], pdf["prior"], pdf["slips"]):
+            for kind, voters, prior, failed, slips in zip(pdf["kind"], pdf["voters"], pdf["prior"], pdf["failed"], pdf["slips"]):
                 n = len(voters)
+                for v in failed:
+                    total["failed", v, "", ""] += 1.0
                 voters = [list(v) for v in voters]
                 p = _majority(voters, prior) if first else m.posterior(kind, voters, list(prior), list(slips))
                 everyone = [v for vs in voters for v in vs]
@@ -204,24 +220,26 @@ def _statistics(items: DataFrame, model, first: bool) -> Model:
     rows = items.mapInPandas(run, "what string, voter string, kind string, extra string, x double").groupBy("what", "voter", "kind", "extra").agg(F.sum("x").alias("x")).limit(MOST_PARAMETERS + 1).collect()
     if len(rows) > MOST_PARAMETERS:
         raise ValueError(f"more than {MOST_PARAMETERS} parameters: too many annotators for one model")
-    right, wrong, guess, slips, shared, seen = {}, {}, defaultdict(dict), defaultdict(lambda: defaultdict(float)), {}, {}
+    right, wrong, failed, guess, slips, shared, seen = {}, {}, {}, defaultdict(dict), defaultdict(lambda: defaultdict(float)), {}, {}
     for r in rows:
         if r.what == "right":
             right[r.voter] = r.x
         elif r.what == "wrong":
             wrong[r.voter] = r.x
+        elif r.what == "failed":
+            failed[r.voter] = r.x
         elif r.what == "guess":
             guess[r.voter, r.kind][r.extra] = r.x
             slips[r.kind][r.extra] += r.x
         else:
             (seen if r.what == "seen" else shared)[r.voter, r.extra] = r.x
-    return Model(right, wrong, dict(guess), {k: dict(x) for k, x in slips.items()}, shared, seen)
+    return Model(right, wrong, dict(guess), {k: dict(x) for k, x in slips.items()}, shared, seen, failed=failed)
 
 
-def fit(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped: str | None = None, rounds: int = 6) -> tuple[DataFrame, Model]:
+def fit(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped: str | None = None, rounds: int = 6, attempted: str | None = None) -> tuple[DataFrame, Model]:
     """The items, written once, and the model after ``rounds`` of expectation-maximisation over all of them."""
     key_type = df.schema[item].dataType.simpleString()
-    items = checkpoint(_with_slips(items_of(df, item, kind, label, hit, dropped), key_type))
+    items = checkpoint(_with_slips(items_of(df, item, kind, label, hit, dropped, attempted), key_type))
     model = _statistics(items, None, True)
     for n in range(rounds):
         model.families = n >= 2  # first who is reliable, then who slips together
@@ -230,9 +248,10 @@ def fit(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped: str
 
 
 def consensus(items: DataFrame, model: Model) -> DataFrame:
-    """``item, kind, label, posterior, agreement, n_votes`` per item.
+    """``item, kind, label, posterior, agreement, n_votes, n_attempts`` per item.
 
-    ``agreement`` is the share of the counted votes that the label has; null if nobody voted. The most
+    ``agreement`` is the share of the attempts, the counted votes and those that gave no reading, that
+    the label has; null if nobody tried. The most
     probable label wins, of equals the one with more votes, then the one that sorts first.
     """
     sent = items.sparkSession.sparkContext.broadcast(model)
@@ -242,26 +261,32 @@ def consensus(items: DataFrame, model: Model) -> DataFrame:
         m = sent.value
         for pdf in batches:
             out = []
-            for i, kind, labels, voters, prior, slips in zip(pdf["item"], pdf["kind"], pdf["labels"], pdf["voters"], pdf["prior"], pdf["slips"]):
+            for i, kind, labels, voters, prior, failed, slips in zip(pdf["item"], pdf["kind"], pdf["labels"], pdf["voters"], pdf["prior"], pdf["failed"], pdf["slips"]):
                 voters = [list(v) for v in voters]
                 p = m.posterior(kind, voters, list(prior), list(slips))
                 t = min(range(len(p)), key=lambda k: (-round(p[k], 9), -len(voters[k]), labels[k]))
                 n = sum(map(len, voters))
-                out.append((i, kind, labels[t], p[t], len(voters[t]) / n if n else None, n))
-            yield pd.DataFrame(out, columns=["item", "kind", "label", "posterior", "agreement", "n_votes"])
+                tried = n + len(failed)
+                out.append((i, kind, labels[t], p[t], len(voters[t]) / tried if tried else None, n, tried))
+            yield pd.DataFrame(out, columns=["item", "kind", "label", "posterior", "agreement", "n_votes", "n_attempts"])
 
-    return items.mapInPandas(run, f"item {key_type}, kind string, label string, posterior double, agreement double, n_votes int")
+    return items.mapInPandas(run, f"item {key_type}, kind string, label string, posterior double, agreement double, n_votes int, n_attempts int")
 
 
 def reliability(df: DataFrame, model: Model) -> DataFrame:
-    """``voter, competence, commonest_slip, n_votes``: one row per annotator."""
+    """``voter, competence, answered, reliability, commonest_slip, n_votes, n_attempts``: one row per annotator.
+
+    ``competence`` is how often a reading is right, ``answered`` how often an attempt gives a reading,
+    ``reliability`` their product: how often an attempt gives the right reading.
+    """
     rows = []
-    for v in sorted(set(model.right) | set(model.wrong)):
+    for v in sorted(set(model.right) | set(model.wrong) | set(model.failed)):
         own: dict[str, float] = defaultdict(float)
         for (u, _), g in model.guess.items():
             if u == v:
                 for k, x in g.items():
                     own[k] += x
         most = min(own, key=lambda k: (-own[k], k)) if own else None
-        rows.append((v, round(model.competence(v), 4), most, int(round(model.right.get(v, 0) + model.wrong.get(v, 0)))))
-    return df.sparkSession.createDataFrame(rows, "voter string, competence double, commonest_slip string, n_votes long")
+        share = model.answered(v)
+        rows.append((v, round(model.competence(v), 4), round(share, 4), round(model.competence(v) * share, 4), most, int(round(model.votes(v))), int(round(model.votes(v) + model.failed.get(v, 0.0)))))
+    return df.sparkSession.createDataFrame(rows, "voter string, competence double, answered double, reliability double, commonest_slip string, n_votes long, n_attempts long")

@@ -30,9 +30,9 @@ def _known_words(spark: SparkSession, d: str) -> frozenset[str]:
 
 def _readings(spark: SparkSession, d: str):
     df = table(spark, d, "token_consensus").select(
-        "item_id", "kind", F.coalesce(F.col("value").cast("string"), F.col("token")).alias("label"), "voters_hit", "column_dropped_voters"
+        "item_id", "kind", F.coalesce(F.col("value").cast("string"), F.col("token")).alias("label"), "voters_hit", "voters_attempted", "column_dropped_voters"
     )
-    return df, *consensus.fit(df, "item_id", "kind", "label", "voters_hit", "column_dropped_voters")
+    return df, *consensus.fit(df, "item_id", "kind", "label", "voters_hit", "column_dropped_voters", attempted="voters_attempted")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

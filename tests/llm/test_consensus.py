@@ -67,3 +67,14 @@ def test_tie_goes_to_votes_then_order(spark):
     rows = [(1, "numeric", "3", ["a"], None, "x"), (1, "numeric", "8", ["b"], None, "x")]
     items, model = consensus.fit(spark.createDataFrame(rows, SCHEMA), "item", "kind", "label", "hit", "dropped", rounds=1)
     assert consensus.consensus(items, model).first().label in ("3", "8")
+
+
+def test_attempts_without_a_reading_count(spark):
+    rows = [(i, "numeric", "5", ["A"], ["d"], ["a", "B ", "b", "d", None]) for i in range(40)] + [(40, "numeric", "7", ["a"], None, None), (40, "numeric", "8", ["b"], None, ["c"]), (41, "numeric", "9", None, None, ["c"])]
+    df = spark.createDataFrame(rows, "item long, kind string, label string, hit array<string>, dropped array<string>, tried array<string>")
+    items, model = consensus.fit(df, "item", "kind", "label", "hit", "dropped", rounds=2, attempted="tried")
+    got = {r.item: (r.agreement, r.n_votes, r.n_attempts) for r in consensus.consensus(items, model).collect()}
+    assert got[0] == (0.5, 1, 2) and got[40][1:] == (2, 3) and got[41] == (0.0, 0, 1)
+    voters = {r.voter: r for r in consensus.reliability(items, model).collect()}
+    assert set(voters) == {"a", "b", "c"} and voters["a"].answered == 1.0 and voters["c"].reliability == 0.0
+    assert (voters["b"].n_votes, voters["b"].n_attempts) == (1, 41) and voters["b"].reliability < 0.05 < voters["a"].reliability
