@@ -67,7 +67,7 @@ def pack(df: DataFrame, key: str, tokens: str, capacity: int, max_segments: int
     An item is split only if it alone exceeds ``capacity``: into full containers and one rest, which
     is packed like any other item. Items without tokens (also null counts) take one segment with an
     empty range. ``loss`` counts loss-bearing tokens and is all tokens if left out; of a split item it
-    is spread evenly. Repeated keys are separate items. An empty table gives none. Container numbers
+    is spread evenly; an item or piece with more than ``max_loss`` of them is an error. Repeated keys are separate items. An empty table gives none. Container numbers
     are unique over all blocks.
     """
     if capacity < 1 or max_segments < 1:
@@ -92,7 +92,9 @@ def pack(df: DataFrame, key: str, tokens: str, capacity: int, max_segments: int
         rest = size - full * capacity
         alone = (rest == 0) & (full > 0)
         loss_rest = np.where(full > 0, np.minimum(rest, bearing * rest // np.maximum(size, 1)), bearing)
-        loss_rest = np.minimum(loss_rest, max_loss)
+        piece = np.where(full > 0, -(-bearing * capacity // np.maximum(size, 1)), 0)
+        if (over := np.maximum(loss_rest, piece) > max_loss).any():
+            raise ValueError(f"{int(over.sum())} items or full pieces have more than {max_loss} loss-bearing tokens and fit no container")
         pick = np.flatnonzero(~alone)
         at = fill(rest[pick], loss_rest[pick], capacity, max_segments, max_loss)
         base = int(pdf["__block"].iloc[0]) << 40

@@ -54,3 +54,11 @@ def test_table(spark):
     assert packing.usage(packing.pack(df.limit(0), "k", "n", 8), 8).first().containers == 0
     with pytest.raises(ValueError, match="positive"):
         packing.pack(df, "k", "n", 0)
+
+
+@pytest.mark.parametrize(("n", "loss"), [(6, 6), (20, 20), (16, 16)])
+def test_items_over_the_limit_on_loss_are_an_error(spark, n, loss):
+    df = spark.createDataFrame([(1, n, loss), (2, 4, 1)], "k long, n long, loss long")
+    with pytest.raises(Exception, match="more than 5 loss-bearing tokens"):
+        packing.pack(df, "k", "n", 8, loss="loss", max_loss=5).collect()
+    assert packing.pack(df, "k", "n", 8, loss="loss", max_loss=8).count() == 2 + (n - 1) // 8
