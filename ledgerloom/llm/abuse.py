@@ -4,38 +4,55 @@ A convolutional text classifier in numpy: hashed embeddings of words and their l
 of several widths, max pooling, one output. Texts are first cleared of disguises (look-alike letters,
 digits for letters, letters set apart or repeated), cut into sentences and long sentences into
 overlapping windows; a document's score is that of its worst window. Thresholds are calibrated by
-language on examples kept from training.
+language, with examples kept from training and the scores of all documents.
 """
 
 from __future__ import annotations
 
+import base64
+import os
 import random
 import re
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.abuse_examples import examples
+from ledgerloom.llm.abuse_examples import SMALL_WORDS, WORDS, examples, frames  # noqa: F401
 from ledgerloom.llm.normal import LOOKALIKE, consistent
+from ledgerloom.session import checkpoint
 
 #: Size of the model, and of a window in words.
-BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 14, 24, 40, (1, 2, 3)
+BUCKETS, SIZE, FILTERS, WIDTHS = 1 << 17, 24, 40, (1, 2, 3)
 WINDOW, STEP = 28, 18
-#: Sentences for training: written examples, and unlabelled sentences of the corpus taken as harmless (a bounded sample).
-EXAMPLES, SAMPLE = 16_000, 10_000
-#: Documents, about, from which those sentences are taken.
-SAMPLE_DOCUMENTS = 20_000
-
-#: Small words that tell the language of a sentence.
+#: Sentences for training: written examples, and unlabelled sentences of the corpus taken as harmless (a bounded sample),
+#: and about how many documents those are taken from.
+EXAMPLES, SAMPLE, SAMPLE_DOCUMENTS = 30_000, 10_000, 6_000
+#: Harmless sentences of random words for training, and the public vocabulary those are taken from (optional).
+SALADS, VOCABULARY = 8_000, "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: In training: share of words left out, and how much embeddings shrink.
+LOSE_WORDS, DECAY = 0.2, 0.4
+#: Sentences and words that a worker remembers.
+KNOWN_SENTENCES, KNOWN_WORDS = 200_000, 40_000
+
+#: Small words that tell the language of a sentence; other languages are one class.
 SMALL = {
     "nb": set("jeg du er en og ikke det som på til av den vi dere din ditt deg meg fra noen burde være bare kan hvor hun sin om for med ut".split()),
     "nn": set("eg ikkje ein eit dei dykk nokon vere berre kvar ho frå såg auka vart saman si heile kjem veit utan til og er på som".split()),
     "en": set("the is are you and of to a i my me not that what who them they it all we for with your in on be was every".split()),
+    "other": set("jag och att är inte jeg ikke af til dig mig hvad und der die das ist ich du nicht ein eine le la les des et est pas une que qui vous je el los las y es un una por no te se de".split()),
 }
+_ONLY_NN = set("eg ikkje ein eit dei nokon dykk ho frå vart kvar berre si heile saman".split())
+#: Classes of language with a threshold of their own; ``und`` are windows without small words.
+LANGUAGES = (*SMALL, "und")
+
+#: Slots of the abusive patterns that hold words abusive in themselves.
+DEMEANING = set("JAVDSXHLCBFR")
+_SMALL_WORDS = [t.split() for t in SMALL_WORDS.values()]
 
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "6": "b", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "€": "e", "|": "l", "#": "*", "+": "t"})
 _LATIN = str.maketrans(LOOKALIKE)
@@ -70,35 +87,38 @@ def clear(sentence: str) -> list[str]:
 
 
 def language(words: list[str]) -> str:
-    """nb, nn or en by small words; nb where they do not tell."""
+    """The class of language by small words, ``und`` where there are none; at a tie the first in the order of `SMALL`."""
     n = {lang: sum(w in small for w in words) for lang, small in SMALL.items()}
-    n["nn"] += sum(w in ("eg", "ikkje", "ein", "eit", "dei", "nokon", "dykk", "ho", "frå", "vart", "kvar", "berre", "si", "heile", "saman") for w in words)
-    return max(("nb", "nn", "en"), key=lambda x: n[x])
+    n["nn"] += sum(w in _ONLY_NN for w in words)
+    best = max(SMALL, key=lambda x: n[x])
+    return best if n[best] else "und"
+
+
+def sentence_windows(sentence: str) -> list[list[str]]:
+    """A sentence as lists of words, a long one as overlapping windows; none without words."""
+    w = clear(sentence)
+    if len(w) <= WINDOW:
+        return [w] if w else []
+    return [w[i : i + WINDOW] for i in range(0, len(w) - WINDOW + STEP, STEP)]
+
+
+def split_sentences(text: str) -> list[str]:
+    return [s for s in _SENTENCE.split(text) if s and not s.isspace()]
 
 
 def windows(text: str) -> list[list[str]]:
-    """The sentences of a text as lists of words, long ones as overlapping windows."""
-    out = []
-    for s in _SENTENCE.split(text):
-        if not s or s.isspace():
-            continue
-        w = clear(s)
-        if len(w) <= WINDOW:
-            if w:
-                out.append(w)
-        else:
-            out += [w[i : i + WINDOW] for i in range(0, len(w) - WINDOW + STEP, STEP)]
-    return out
+    """The windows of all sentences of a text."""
+    return [w for s in split_sentences(text) for w in sentence_windows(s)]
 
 
-@lru_cache(maxsize=50_000)
+@lru_cache(maxsize=20_000)
 def features(word: str) -> tuple[int, ...]:
-    """Buckets of a word and of its letter groups."""
-    ids = [zlib.crc32(word.encode()) % BUCKETS]
-    w = f"<{word[:24]}>"
-    ids += [zlib.crc32(b"3" + w[i : i + 3].encode()) % BUCKETS for i in range(len(w) - 2) if "*" not in w[i : i + 3] or len(word) < 4]
-    ids += [zlib.crc32(b"4" + w[i : i + 4].encode()) % BUCKETS for i in range(len(w) - 3)]
-    return tuple(ids[:32])
+    """Buckets of a word and of all its letter groups."""
+    w = f"<{word}>"
+    ids = [zlib.crc32(word.encode())]
+    ids += [zlib.crc32(b"3" + w[i : i + 3].encode()) for i in range(len(w) - 2) if "*" not in w[i : i + 3] or len(word) < 4]
+    ids += [zlib.crc32(b"4" + w[i : i + 4].encode()) for i in range(len(w) - 3)]
+    return tuple(i % BUCKETS for i in ids)
 
 
 def disguise(text: str, rng: random.Random) -> str:
@@ -139,222 +159,342 @@ def _sum_rows(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Vocabulary:
+    """The words of some windows by number, with the buckets of each."""
+
+    def __init__(self, some: list[list[str]]):
+        self.words = list(dict.fromkeys(chain.from_iterable(some)))
+        at = {w: i for i, w in enumerate(self.words)}
+        self.lengths = np.array([len(s) for s in some], np.int64)
+        self.ids = np.full((len(some), max([max(WIDTHS), *map(len, some)])), len(self.words), np.int32)  # the number after the last is no word
+        for i, s in enumerate(some):
+            self.ids[i, : len(s)] = [at[w] for w in s]
+        each = [features(w) for w in self.words]
+        self.start = np.cumsum([0] + [len(x) for x in each])
+        self.buckets = np.fromiter(chain.from_iterable(each), np.int64, int(self.start[-1]))
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The buckets of some words one after the other, and how many each has."""
+        size = self.start[words + 1] - self.start[words]
+        first = np.cumsum(size) - size
+        return self.buckets[np.arange(int(size.sum())) - np.repeat(first - self.start[words], size)], size
+
+
 class Net:
     """Embeddings, filters and output of the classifier."""
 
     def __init__(self, seed: int = 1):
         r = np.random.default_rng(seed)
-        self.e = r.normal(0, 0.1, (BUCKETS, SIZE)).astype(np.float32)
+        self.e = r.normal(0, 0.03, (BUCKETS, SIZE)).astype(np.float32)
         self.w = [r.normal(0, (2 / (k * SIZE)) ** 0.5, (k * SIZE, FILTERS)).astype(np.float32) for k in WIDTHS]
         self.b = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
         self.o = r.normal(0, 0.1, len(WIDTHS) * FILTERS).astype(np.float32)
         self.c = np.zeros(1, np.float32)
-        self.threshold: dict[str, float] = {}
-
-    def vectors(self, words: list[str]) -> np.ndarray:
+        #: Scores and classes of language of examples kept from training: abusive, harmless.
+        self.held: tuple[list[tuple[float, str]], list[tuple[float, str]]] = ([], [])
+
+    def save(self, path: str) -> None:
+        """Keep the model in a file (``.npz``)."""
+        held = {f"h{i}_{n}": np.array([x[j] for x in side]) for i, side in enumerate(self.held) for j, n in enumerate(("p", "lang"))}
+        np.savez_compressed(path, e=self.e.astype(np.float16), o=self.o, c=self.c, **{f"w{i}": w for i, w in enumerate(self.w)}, **{f"b{i}": b for i, b in enumerate(self.b)}, **held)
+
+    @classmethod
+    def load(cls, path: str) -> Net:
+        """A model kept by `save`."""
+        with np.load(path) as z:
+            net = cls()
+            net.e, net.o, net.c = z["e"].astype(np.float32), z["o"], z["c"]
+            net.w, net.b = ([z[f"{n}{i}"] for i in range(len(WIDTHS))] for n in "wb")
+            net.held = tuple([(float(p), str(x)) for p, x in zip(z[f"h{i}_p"], z[f"h{i}_lang"])] for i in range(2))
+        return net
+
+    def vectors(self, buckets: np.ndarray, size: np.ndarray) -> np.ndarray:
         """The vector of each word: the mean of its buckets."""
-        ids = [features(w) for w in words]
-        at = np.cumsum([0] + [len(x) for x in ids])
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(at[-1]))
-        return np.add.reduceat(self.e[flat], at[:-1]) / np.diff(at)[:, None] if len(words) else np.zeros((0, SIZE), np.float32)
-
-    def _pooled(self, x: np.ndarray, lengths: np.ndarray):
-        out, where = [], []
-        n, length, _ = x.shape
-        for k, w, b in zip(WIDTHS, self.w, self.b):
-            cols = np.concatenate([x[:, i : length - k + 1 + i] for i in range(k)], axis=2)
-            y = cols.reshape(-1, k * SIZE) @ w
-            y = y.reshape(n, length - k + 1, FILTERS) + b
-            beyond = np.arange(length - k + 1)[None, :] >= np.maximum(lengths - k + 1, 1)[:, None]
-            y[beyond] = -1e9
+        return np.add.reduceat(self.e[buckets], np.cumsum(size) - size) / size[:, None] if len(size) else np.zeros((0, SIZE), np.float32)
+
+    def projected(self, vec: np.ndarray) -> np.ndarray:
+        """What each word adds to every filter, at every place under it."""
+        return np.concatenate([vec @ w[i * SIZE : (i + 1) * SIZE] for k, w in zip(WIDTHS, self.w) for i in range(k)], axis=1)
+
+    def _pooled(self, parts: np.ndarray, ids: np.ndarray, lengths: np.ndarray):
+        """The largest answer of each filter over a window, and where it is."""
+        n, length = ids.shape
+        out, where, col = [], [], 0
+        for k, b in zip(WIDTHS, self.b):
+            span = length - k + 1
+            y = np.zeros((n, span, FILTERS), np.float32)
+            for i in range(k):
+                y += parts[:, col : col + FILTERS][ids[:, i : span + i]]
+                col += FILTERS
+            y[np.arange(span)[None, :] >= np.maximum(lengths - k + 1, 1)[:, None]] = -1e9
             a = y.argmax(axis=1)
-            where.append((cols, a))
-            out.append(np.maximum(np.take_along_axis(y, a[:, None, :], 1)[:, 0], 0))
+            where.append(a)
+            out.append(np.maximum(np.take_along_axis(y, a[:, None, :], 1)[:, 0] + b, 0))
         return np.concatenate(out, axis=1), where
 
-    def _batch(self, some: list[list[str]], table: dict[str, int], vec: np.ndarray):
-        length = max(max(map(len, some)), max(WIDTHS))
-        idx = np.full((len(some), length), len(vec) - 1)
-        for i, s in enumerate(some):
-            idx[i, : len(s)] = [table[w] for w in s]
-        return vec[idx], np.array([len(s) for s in some]), idx
+    def answer(self, h: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(h @ self.o + self.c, -30, 30)))
 
     def score(self, some: list[list[str]]) -> np.ndarray:
         """Chance of each window to be abusive."""
-        out = np.zeros(len(some), np.float32)
-        order = sorted(range(len(some)), key=lambda i: len(some[i]))
-        for lo in range(0, len(order), 512):
-            part = order[lo : lo + 512]
-            words = sorted({w for i in part for w in some[i]})
-            vec = np.concatenate([self.vectors(words), np.zeros((1, SIZE), np.float32)])
-            x, lengths, _ = self._batch([some[i] for i in part], {w: k for k, w in enumerate(words)}, vec)
-            h, _ = self._pooled(x, lengths)
-            out[part] = 1 / (1 + np.exp(-np.clip(h @ self.o + self.c, -30, 30)))
-        return out
+        return Scorer(self).score(some)
 
-    def train(self, some: list[list[str]], labels: np.ndarray, epochs: int = 5, rate: float = 0.004, seed: int = 2) -> None:
-        """Minibatch training with adaptive steps; the order of the batches is fixed by the seed."""
+    def train(self, some: list[list[str]], labels: np.ndarray, epochs: int = 4, rate: float = 0.006, seed: int = 2, batch: int = 160) -> None:
+        """Minibatch training with adaptive steps over windows of like length; the order of the batches is fixed by the seed."""
         rng = np.random.default_rng(seed)
+        v = Vocabulary(some)
         parts = [self.e, *self.w, *self.b, self.o, self.c]
-        m, v = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
-        step = 0
+        m1, m2 = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
+        step, none = 0, len(v.words)
         for epoch in range(epochs):
-            order = rng.permutation(len(some))
-            for lo in range(0, len(order), 96):
-                part = order[lo : lo + 96]
-                batch = [some[i] for i in part]
-                words = sorted({w for s in batch for w in s})
-                ids = [features(w) for w in words]
-                vec = np.concatenate([self.vectors(words), np.zeros((1, SIZE), np.float32)])
-                x, lengths, idx = self._batch(batch, {w: k for k, w in enumerate(words)}, vec)
-                h, where = self._pooled(x, lengths)
-                keep = (rng.random(h.shape) > 0.3) / 0.7
+            order = np.argsort(v.lengths + rng.random(len(some)) * 6)
+            cuts = [order[i : i + batch] for i in range(0, len(order), batch)]
+            for j in rng.permutation(len(cuts)):
+                part = cuts[j]
+                lengths = v.lengths[part]
+                length = max(int(lengths.max()), max(WIDTHS))
+                words, ids = np.unique(np.append(v.ids[part, :length].ravel(), none), return_inverse=True)
+                ids = ids[:-1].reshape(len(part), length)
+                ids = np.where(rng.random(ids.shape, np.float32) < LOSE_WORDS, len(words) - 1, ids)
+                buckets, size = v.of(words[:-1])
+                vec = np.concatenate([self.vectors(buckets, size), np.zeros((1, SIZE), np.float32)])
+                h, where = self._pooled(self.projected(vec), ids, lengths)
+                keep = (rng.random(h.shape, np.float32) > 0.3).astype(np.float32) / 0.7
                 hd = h * keep
-                p = 1 / (1 + np.exp(-np.clip(hd @ self.o + self.c, -30, 30)))
-                g = ((p - labels[part]) / len(part)).astype(np.float32)
+                g = ((self.answer(hd) - labels[part]) / len(part)).astype(np.float32)
                 go, gc = hd.T @ g, g.sum(keepdims=True)
-                gh = (g[:, None] * self.o[None, :] * keep * (h > 0)).astype(np.float32)
-                gx = np.zeros_like(x)
-                gw, gb = [], []
-                for f, (k, (cols, a)) in enumerate(zip(WIDTHS, where)):
+                gh = g[:, None] * self.o[None, :] * keep * (h > 0)
+                gw, gb, gv = [], [], np.zeros_like(vec)
+                rows = np.arange(len(part))[:, None]
+                for f, (k, a) in enumerate(zip(WIDTHS, where)):
                     gk = gh[:, f * FILTERS : (f + 1) * FILTERS]
-                    rows = np.arange(len(part))[:, None]
-                    picked = cols[rows, a]  # batch x filters x (k * SIZE)
-                    gw.append((gk[:, :, None] * picked).sum(0).T)
                     gb.append(gk.sum(0))
-                    back = gk[:, :, None] * self.w[f].T[None]
-                    chosen = np.zeros((len(part), x.shape[1] - k + 1, FILTERS), np.float32)
-                    np.put_along_axis(chosen, a[:, None, :], 1, 1)
+                    gi = []
                     for i in range(k):
-                        gx[:, i : x.shape[1] - k + 1 + i] += chosen @ back[:, :, i * SIZE : (i + 1) * SIZE]
-                gv = _sum_rows(gx.reshape(-1, SIZE), idx.reshape(-1), len(vec))
-                ge_rows, ge = np.unique(np.fromiter((i for x in ids for i in x), np.int64), return_inverse=True)
-                size = np.array([len(x) for x in ids])
-                add = _sum_rows(np.repeat(gv[:-1] / size[:, None], size, axis=0), ge.reshape(-1), len(ge_rows))
+                        at = ids[rows, a + i]  # the word under this place of each filter
+                        # what comes back to each word from each filter, summed before it meets the weights
+                        back = np.bincount((at * FILTERS + np.arange(FILTERS)).ravel(), gk.ravel(), len(vec) * FILTERS).reshape(len(vec), FILTERS).astype(np.float32)
+                        gi.append(vec.T @ back)
+                        gv += back @ self.w[f][i * SIZE : (i + 1) * SIZE].T
+                    gw.append(np.concatenate(gi))
+                rows_e, at = np.unique(buckets, return_inverse=True)
+                add = _sum_rows(np.repeat(gv[:-1] / size[:, None], size, axis=0), at, len(rows_e))
                 step += 1
                 lr = rate * (1 - 0.8 * epoch / epochs)
-                r = ge_rows
-                m[0][r] = 0.9 * m[0][r] + 0.1 * add
-                v[0][r] = 0.99 * v[0][r] + 0.01 * add**2
-                self.e[r] -= lr * m[0][r] / (np.sqrt(v[0][r]) + 1e-5)
+                m1[0][rows_e] = 0.9 * m1[0][rows_e] + 0.1 * add
+                m2[0][rows_e] = 0.99 * m2[0][rows_e] + 0.01 * add**2
+                self.e[rows_e] -= lr * (m1[0][rows_e] / (np.sqrt(m2[0][rows_e]) + 1e-5) + DECAY * self.e[rows_e])
                 for q, (param, grad) in enumerate(zip(parts[1:], [*gw, *gb, go, gc]), 1):
-                    m[q] = 0.9 * m[q] + 0.1 * grad
-                    v[q] = 0.99 * v[q] + 0.01 * grad**2
-                    param -= lr * (m[q] / (1 - 0.9**step)) / (np.sqrt(v[q] / (1 - 0.99**step)) + 1e-6)
+                    m1[q] = 0.9 * m1[q] + 0.1 * grad
+                    m2[q] = 0.99 * m2[q] + 0.01 * grad**2
+                    param -= lr * (m1[q] / (1 - 0.9**step)) / (np.sqrt(m2[q] / (1 - 0.99**step)) + 1e-6)
+
+
+class Scorer:
+    """Scores windows; what a word adds to the filters is worked out once."""
+
+    def __init__(self, net: Net):
+        self.net = net
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.parts = np.zeros((1024, sum(WIDTHS) * FILTERS), np.float32)  # row 0 is no word
+
+    def _learn(self, some: list[list[str]]) -> None:
+        new = [w for w in dict.fromkeys(chain.from_iterable(some)) if w not in self.at]
+        if len(self.at) + len(new) > KNOWN_WORDS and self.at:
+            self._forget()
+            new = list(dict.fromkeys(chain.from_iterable(some)))
+        if not new:
+            return
+        first = len(self.at) + 1
+        if first + len(new) > len(self.parts):
+            grown = np.zeros((max(first + len(new), 2 * len(self.parts)), self.parts.shape[1]), np.float32)
+            grown[:first] = self.parts[:first]
+            self.parts = grown
+        each = [features(w) for w in new]
+        size = np.array([len(x) for x in each])
+        vec = self.net.vectors(np.fromiter(chain.from_iterable(each), np.int64, int(size.sum())), size)
+        self.parts[first : first + len(new)] = self.net.projected(vec.astype(np.float32))
+        self.at.update(zip(new, range(first, first + len(new))))
+
+    def score(self, some: list[list[str]]) -> np.ndarray:
+        out = np.zeros(len(some), np.float32)
+        order = sorted(range(len(some)), key=lambda i: len(some[i]))
+        for lo in range(0, len(order), 512):
+            part = order[lo : lo + 512]
+            chunk = [some[i] for i in part]
+            self._learn(chunk)
+            ids = np.zeros((len(part), max(len(chunk[-1]), max(WIDTHS))), np.int64)
+            for i, s in enumerate(chunk):
+                ids[i, : len(s)] = [self.at[w] for w in s]
+            h, _ = self.net._pooled(self.parts, ids, np.array([len(s) for s in chunk]))
+            out[part] = self.net.answer(h)
+        return out
 
 
-def corpus_sample(df: DataFrame, text: str, n: int = SAMPLE) -> list[list[str]]:
-    """Up to ``n`` different sentences of the corpus, those with the smallest hashes: the same on every run.
+def corpus_sample(df: DataFrame, text: str, n: int = SAMPLE, documents: int = SAMPLE_DOCUMENTS) -> list[list[str]]:
+    """Up to ``n`` different windows of the corpus, those with the smallest hashes: the same on every run.
 
-    They come from about `SAMPLE_DOCUMENTS` documents, chosen by a hash of their text. Each task keeps
-    its ``n`` smallest, so what comes to the driver is bounded whatever the corpus.
+    They come from about ``documents`` different texts, chosen by a hash: the same share of hashes on
+    every size of corpus, all of a smaller one. Each task keeps its ``n`` smallest, so what comes to the
+    driver is bounded whatever the corpus.
     """
-    share = max(1, df.count() // SAMPLE_DOCUMENTS)
-    chosen = df.select(text).where(F.pmod(F.xxhash64(text), F.lit(share)) == 0)
+    place = F.pmod(F.xxhash64(text), F.lit(1 << 20))
+    total = df.agg(F.approx_count_distinct(text)).first()[0]
+    chosen = df.select(text).where(place <= int((1 << 20) * min(1.0, documents / max(1, total))))
 
     def run(batches):
         best: dict[int, str] = {}
-        seen: set[int] = set()  # copies of one text may be many
+        seen: set[int] = set()  # copies of one text or sentence may be many
         for pdf in batches:
             for t in pdf[text]:
-                if isinstance(t, str) and hash(t) not in seen:
-                    seen.add(hash(t))
-                    for w in windows(t):
-                        s = " ".join(w)
-                        best[zlib.crc32(s.encode())] = s
+                if isinstance(t, str) and (h := hash(t)) not in seen:
+                    seen.add(h)
+                    for s in split_sentences(t):
+                        if (h := hash(s)) not in seen:
+                            seen.add(h)
+                            for w in sentence_windows(s):
+                                s = " ".join(w)
+                                best[zlib.crc32(s.encode())] = s
             if len(best) > 2 * n:
                 best = {k: best[k] for k in sorted(best)[:n]}
+            if len(seen) > KNOWN_SENTENCES:
+                seen.clear()
         yield pd.DataFrame(sorted(best.items())[:n], columns=["h", "s"])
 
     rows = chosen.mapInPandas(run, "h long, s string").distinct().orderBy("h", "s").limit(n).collect()
     return [r.s.split(" ") for r in rows]
 
 
-def fit(df: DataFrame, text: str, sample: int = SAMPLE, written: int = EXAMPLES, harmless: list[str] | None = None, seed: int = 5) -> Net:
-    """The classifier trained on the written examples and a bounded sample of the corpus.
+def everyday_words(path: str) -> list[str]:
+    """The whole words of a public vocabulary, without those that the abusive patterns use; none if there is no such file."""
+    if not os.path.exists(path):
+        return []
+    with open(path, "rb") as f:
+        tokens = [base64.b64decode(line.split()[0]).decode(errors="ignore") for line in f if line.strip()]
+    loaded = {w for fill in WORDS.values() for k, v in fill.items() if k in DEMEANING for w in clear(v.replace("|", " "))}
+    return sorted({w for t in tokens if len(t) > 3 and t[0] == " " and t[1:].isalpha() and (w := t[1:].lower()) not in loaded})
+
+
+def _salad(words: list[str], rng: random.Random) -> list[str]:
+    """A harmless sentence of everyday words and the small words of one language."""
+    small = rng.choice(_SMALL_WORDS)
+    return [rng.choice(small) if rng.random() < 0.35 else rng.choice(words) for _ in range(rng.randint(1, 14))]
+
 
-    ``harmless`` are texts known to be so, such as a reference list; up to 5,000 are used.
+def fit(df: DataFrame, text: str, sample: int = SAMPLE, documents: int = SAMPLE_DOCUMENTS, written: int = EXAMPLES, harmless: list[str] | None = None, seed: int = 5, vocabulary: str = VOCABULARY) -> Net:
+    """The classifier trained on ``written`` examples and a bounded sample of the corpus.
 
-    The sample is taken as harmless at first; what the first round of training then finds abusive in
-    it is left out of the second. A tenth of all is kept from training to calibrate the thresholds.
+    The bounds of the sample are parameters: ``sample`` windows of about ``documents`` texts. It is
+    taken as harmless at first; what the first round of training then finds abusive in it is left out
+    of the second. ``harmless`` are texts known to be so, such as a reference list; random words of a
+    public ``vocabulary`` make `SALADS` more. A tenth of the examples is kept from training to
+    calibrate the thresholds.
     """
     rng = random.Random(seed)
-    calm = corpus_sample(df, text, sample)
-    known = [w for t in (harmless or [])[:5000] if t and (w := clear(t)[:WINDOW])]
+    calm = corpus_sample(df, text, sample, documents)
+    labels = [w for t in harmless or [] if t for w in sentence_windows(t)]
+    polite = [clear(s) for _, s, y in examples(1000, seed + 1) if not y] + labels
+    everyday = everyday_words(vocabulary)
+    salads = [_salad(everyday, rng) for _ in range(SALADS if everyday else 0)]
     made = []
-    polite = [clear(s) for _, s, y in examples(min(written, 1000), seed + 1) if not y] + known
-    for lang, s, y in examples(written, seed):
-        if y or rng.random() < 0.3:
+    for _, s, y in examples(written, seed):
+        if y and rng.random() < 0.5 or not y and rng.random() < 0.15:
             s = disguise(s, rng)
         w = clear(s)
-        if (r := rng.random()) < 0.6:  # sentences without an end run into the next
+        if (r := rng.random()) < 0.4:  # sentences without an end run into the next
             other = rng.choice(polite if not calm or rng.random() < 0.3 else calm)
-            w = w + other[: rng.randint(2, 24)] if r < 0.5 else other[-rng.randint(1, 8) :] + w
-        made.append((lang, w[:WINDOW], y))
-    held = made[: len(made) // 10]
-    made = made[len(made) // 10 :]
-    held_calm, calm = calm[: len(calm) // 10], calm[len(calm) // 10 :]
+            w = w + other[: rng.randint(2, 24)] if r < 0.3 else other[-rng.randint(1, 8) :] + w
+        if w:
+            made.append((w[:WINDOW], y))
+    held, made = made[: len(made) // 10], made[len(made) // 10 :]
     net = Net()
-    for n, epochs in enumerate((2, 4)):
+    for n, epochs in enumerate((1, 4)):
         if n:
             # headings and labels are short and repeated: each counts as often as a few sentences
-            calm = [s for s, p in zip(calm, net.score(calm)) if p < (0.98 if len(s) <= 4 else 0.5)]
+            calm = [s for s, p in zip(calm, net.score(calm)) if p < 0.5] if calm else []
             net = Net()
-        short = [s for s in calm if len(s) <= 4] + known
-        some = [w for _, w, _ in made] + calm + short * 4
-        labels = np.array([y for _, _, y in made] + [0] * (len(some) - len(made)), np.float32)
-        net.train(some, labels, epochs=epochs)
-    net.threshold = calibrate(net, held, held_calm)
+        short = [s for s in calm if len(s) <= 4] + labels
+        some = [w for w, _ in made] + calm + (salads if n else []) + short * 3
+        net.train(some, np.array([y for _, y in made] + [0] * (len(some) - len(made)), np.float32), epochs=epochs)
+    rated = [(float(p), language(w), y) for p, (w, y) in zip(net.score([w for w, _ in held]), held)]
+    net.held = tuple([(p, lang) for p, lang, z in rated if z == y] for y in (1, 0))
     return net
 
 
-def calibrate(net: Net, held: list[tuple[str, list[str], int]], calm: list[list[str]], harm: float = 50.0) -> dict[str, float]:
-    """The threshold of each language that loses least: misses, and false alarms counted ``harm`` times as harmless sentences are so many more."""
+#: Steps of the scores in histograms, and the thresholds to choose from.
+BINS = 200
+GRID = np.arange(0.3, 0.701, 0.01)
+
+
+def calibrate(held: tuple[list[tuple[float, str]], list[tuple[float, str]]], histogram: dict[tuple[str, int], int]) -> dict[str, float]:
+    """The threshold of each class of language, from examples kept from training and the scores of all documents.
+
+    ``histogram`` counts documents by class and score bin. At a threshold t, the examples tell which
+    share of abusive documents is reached; the documents above t beyond that share of the abusive ones
+    are false alarms. How many are abusive follows from the documents with the highest scores. The
+    threshold loses least in misses and false alarms together; examples alone decide where there are
+    no documents.
+    """
     out = {}
-    p_calm = net.score(calm)
-    spoken = [language(w) for w in calm]
-    for lang in SMALL:
-        mine = [(w, y) for x, w, y in held if x == lang]
-        p = net.score([w for w, _ in mine])
-        y = np.array([y for _, y in mine])
-        quiet = np.sort(np.concatenate([p[y == 0], p_calm[[i for i, s in enumerate(spoken) if s == lang]]]))
-        # the sample holds a few abusive sentences itself: its loudest half per cent does not count
-        quiet = quiet[: max(1, int(len(quiet) * 0.995))]
-        best = min(np.linspace(0.3, 0.7, 17), key=lambda t: ((p[y == 1] < t).mean() + harm * (quiet >= t).mean(), abs(t - 0.6)))
-        out[lang] = float(best)
+    for lang in LANGUAGES:
+        bad, good = (np.array([p for p, x in side if x == lang] or [p for p, _ in side] or [0.5]) for side in held)
+        reached = np.array([(bad >= t).mean() for t in GRID])
+        alarms = np.array([(good >= t).mean() for t in GRID])
+        counts = np.array([histogram.get((lang, b), 0) for b in range(BINS + 1)], float)
+        above = np.array([counts[int(round(t * BINS)) :].sum() for t in GRID]) / max(1.0, counts.sum())
+        abusive = above[-1] / max(reached[-1], 0.05)
+        loss = abusive * (1 - reached) + np.maximum(0, above - abusive * reached) + 0.01 * (alarms + 1 - reached)
+        out[lang] = float(GRID[int(np.argmin(loss))])
     return out
 
 
 def score_documents(df: DataFrame, key: str, text: str, net: Net) -> DataFrame:
     """``key, score, spoken, flagged``: the score of every document's worst window.
 
-    ``spoken`` is the language of that window and gives the threshold. Null, empty and blank texts
-    score 0 and are not flagged. Whole texts are scored, however long; copies score alike.
+    ``spoken`` is the class of language of that window. A document is flagged if a window reaches the
+    threshold of its class; thresholds follow from the scores of all documents (`calibrate`). Null,
+    empty and blank texts score 0 and are not flagged. Whole texts are scored, however long; copies
+    score alike. One pass over the texts; the scores are written to the checkpoint folder.
     """
     sent = df.sparkSession.sparkContext.broadcast(net)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):
-        model = sent.value
-        known: dict[str, float] = {}
+        scorer = Scorer(sent.value)
+        known: dict[str, dict[str, float]] = {}  # of a sentence, by class of language
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo in range(0, len(texts), 500):
-                chunk = [windows(t) if isinstance(t, str) else [] for t in texts[lo : lo + 500]]
-                new = {s: w for ws in chunk for w in ws if (s := " ".join(w)) not in known}
-                if len(known) + len(new) > 250_000:
+                chunk = [split_sentences(t) if isinstance(t, str) else [] for t in texts[lo : lo + 500]]
+                if len(known) > KNOWN_SENTENCES:
                     known.clear()
-                    new = {" ".join(w): w for ws in chunk for w in ws}
-                known.update(zip(new, map(float, model.score(list(new.values())))))
+                new = [s for s in dict.fromkeys(chain.from_iterable(chunk)) if s not in known]
+                flat = [(s, w) for s in new for w in sentence_windows(s)]
+                known.update((s, {}) for s in new)
+                for (s, w), p in zip(flat, scorer.score([w for _, w in flat]).tolist()):
+                    lang = language(w)
+                    known[s][lang] = max(known[s].get(lang, 0.0), p)
                 out = []
-                for k, ws in zip(pdf[key].iloc[lo : lo + 500], chunk):
-                    worst = max(ws, key=lambda w: (known[" ".join(w)], w), default=None)
-                    if worst is None:
-                        out.append((k, 0.0, None, False))
-                        continue
-                    p, lang = known[" ".join(worst)], language(worst)
-                    flagged = any(known[" ".join(w)] >= model.threshold[language(w)] for w in ws)
-                    out.append((k, round(p, 6), lang, flagged))
-                yield pd.DataFrame(out, columns=[key, "score", "spoken", "flagged"])
-
-    return df.select(key, text).mapInPandas(run, f"`{key}` {kind}, score double, spoken string, flagged boolean")
+                for sentences in chunk:
+                    worst: dict[str, float] = {}
+                    for s in sentences:
+                        for lang, p in known[s].items():
+                            worst[lang] = max(worst.get(lang, 0.0), p)
+                    out.append([{"spoken": lang, "score": round(p, 6)} for lang, p in sorted(worst.items())])
+                yield pd.DataFrame({key: pdf[key].iloc[lo : lo + 500].to_numpy(), "__worst": out})
+
+    scored = checkpoint(df.select(key, text).mapInPandas(run, f"`{key}` {kind}, __worst array<struct<spoken:string,score:double>>"))
+    each = scored.select(F.explode("__worst").alias("w")).groupBy("w.spoken", F.floor(F.col("w.score") * BINS).cast("int").alias("bin")).count().collect()
+    threshold = calibrate(net.held, {(r["spoken"], r["bin"]): r["count"] for r in each})
+    of_class = F.create_map(*chain.from_iterable((F.lit(lang), F.lit(t)) for lang, t in threshold.items()))
+    # the first of the highest scores; structs are ordered by their fields
+    top = F.array_max(F.transform("__worst", lambda w: F.struct(w["score"].alias("score"), w["spoken"].alias("spoken"))))
+    return scored.select(
+        key,
+        F.coalesce(top["score"], F.lit(0.0)).alias("score"),
+        top["spoken"].alias("spoken"),
+        F.exists("__worst", lambda w: w["score"] >= of_class[w["spoken"]]).alias("flagged"),
+    )

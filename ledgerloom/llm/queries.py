@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,7 @@ from ledgerloom.session import spread
 from ledgerloom.sources.tables import table
 
 CONTAINER_TOKENS = 2048
+MOST_LABELS = 200_000
 
 
 def _reference(spark: SparkSession, d: str) -> DataFrame:
@@ -19,8 +22,11 @@ def _reference(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _labels(spark: SparkSession, d: str) -> list[str]:
-    """The texts of the reference list, a fixed table of a few hundred rows."""
-    return sorted(r.text for r in _reference(spark, d).select("text").distinct().limit(20_000).collect() if r.text)
+    """The texts of the reference list, a fixed table of a few hundred rows; more than `MOST_LABELS` are an error, as they go to the driver."""
+    rows = _reference(spark, d).select("text").distinct().limit(MOST_LABELS + 1).collect()
+    if len(rows) > MOST_LABELS:
+        raise ValueError(f"the reference list has more than {MOST_LABELS} texts")
+    return sorted(r.text for r in rows if r.text)
 
 
 def _known_words(spark: SparkSession, d: str) -> frozenset[str]:
@@ -128,9 +134,27 @@ def p9_usage(spark: SparkSession, d: str) -> DataFrame:
     return packing.usage(p9_containers(spark, d), CONTAINER_TOKENS)
 
 
+def _classifier(spark: SparkSession, d: str) -> abuse.Net:
+    """The classifier for these documents, trained once a session.
+
+    Where ``spark.ledgerloom.models`` names a folder, the model is kept there and later sessions read it.
+    """
+    sc = spark.sparkContext
+    kept = sc.__dict__.setdefault("_ledgerloom_models", {})
+    if d not in kept:
+        folder = sc.getConf().get("spark.ledgerloom.models")
+        path = folder and os.path.join(folder.removeprefix("file://"), f"abuse-{hashlib.sha256(repr((d, abuse.EXAMPLES, abuse.frames())).encode()).hexdigest()[:16]}.npz")
+        if path and os.path.exists(path):
+            kept[d] = abuse.Net.load(path)
+        else:
+            kept[d] = abuse.fit(_documents(spark, d), "text", harmless=_labels(spark, d))
+            if path:
+                kept[d].save(path)
+    return kept[d]
+
+
 def _scores(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
-    return abuse.score_documents(docs, "doc_id", "text", abuse.fit(docs, "text", harmless=_labels(spark, d)))
+    return abuse.score_documents(_documents(spark, d), "doc_id", "text", _classifier(spark, d))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
