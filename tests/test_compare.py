@@ -58,4 +58,33 @@ def test_keys_named_like_anything(spark):
 
 
 def test_ranges_grow_with_rows():
-    assert compare.leaf_bits(0) == compare.FAN_BITS and compare.leaf_bits(10**12) > compare.leaf_bits(10**6) > compare.leaf_bits(10**3)
+    assert compare.leaf_bits(0) == 1 and compare.leaf_bits(10**12) == compare.MAX_BITS > compare.leaf_bits(10**5) > compare.leaf_bits(10**3)
+    assert compare.levels(5) == [5] and compare.levels(8) == [8] and compare.levels(17) == [8, 16, 17]
+
+
+def copies(spark, n, changed):
+    df = spark.range(n).select("id", F.lit("x").alias("w"), F.col("id").alias("o"))
+    left = compare.latest_rows(df, ["id"], [F.col("w")], "o")
+    return left, compare.latest_rows(df.withColumn("w", F.when(F.col("id").isin(changed), "y").otherwise("x")), ["id"], [F.col("w")], "o")
+
+
+def test_only_ranges_that_differ_are_summed_again(spark):
+    """Of 20,000 keys three differ: at most three coarse ranges, and as few of the finest, hold rows below the first level."""
+    left, right = copies(spark, 20_000, [5, 77, 19_000])
+    coarse = compare.mismatched_leaves(left, right, ["w"], compare.TOP_BITS)
+    assert 1 <= coarse.count() <= 3
+    rows = compare.within(left, coarse, compare.TOP_BITS).count()
+    assert rows < 20_000 * 3 * 2 / 2**compare.TOP_BITS
+    assert compare.mismatched_leaves(left, right, ["w"], 12).count() == 3
+    assert sorted(tuple(r) for r in compare.compare_copies(left, right, ["id"], rows=20_000).collect()) == [(5, "w"), (77, "w"), (19_000, "w")]
+
+
+def test_each_copy_is_shuffled_once(spark, data):
+    from ledgerloom.plans import problems
+
+    df = problems.p6_found(spark, data)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("FileScan parquet") == 2 and text.count("ReusedExchange") >= 3, plan
