@@ -55,6 +55,9 @@ UNITS = [
 #: What `decimals` means for money.
 MONEY_DECIMALS = {-3: 1000, -6: 10**6}
 
+#: Words that may stand next to a number without being its unit.
+LINKING = set("ca cirka om lag utgjør utgjorde utgjer er var på til av fra frå i og per pr inkl ekskl totalt sum total beløp beløpet minus pluss antall tal alt samlet about is was of and the at to in approx amount value figure".split())
+
 BLANKS = "\u00a0\u202f\u2009\u200b"
 NUMBER = re.compile(r"(?<![\w.,])(?P<open>\(\s*)?(?P<sign>[-−–]\s*)?(?P<n>\d{1,3}(?:[ .]\d{3})+(?!\d)|\d+)(?:,(?P<d>\d+))?(?P<close>\s*\))?")
 
@@ -126,12 +129,20 @@ def _numbers(text: str, units: list[tuple[int, int, int]]) -> list[tuple[int, in
     return out
 
 
+def _bare(text: str, number: tuple[int, int, Decimal]) -> bool:
+    """Whether a number stands alone: no word or sign that could be a unit of any kind is next to it."""
+    after = re.match(r"[\s(]*([^\W\d_]+|[^\w\s.,;:()\[\]\"'!?*/|<>=–-])", text[number[1] :])
+    before = re.search(r"([^\W\d_]+|[^\w\s.,;:()\[\]\"'!?*/|<>=–-])[\s.:(]*$", text[: number[0]])
+    return all(m is None or m[1] in LINKING for m in (after, before))
+
+
 def read_quantity(kind, number, text, unit, decimals):
     """(value, unit id, decimals' scale, whether from text) of a fact, or None if it has no quantity.
 
     ``number`` counts before ``text``; of several numbers in a text the one nearest a unit counts, of
     equals the first. The unit comes from the unit column, else from the text, else is the common
-    one. An unknown unit makes a fact unreadable.
+    one. An unknown unit makes a fact unreadable; in a text without a unit column, so does any word or
+    sign next to the number that is neither a known unit nor a linking word (``EUR 100``, ``5 lb``).
     """
     if kind not in COMMON:
         return None
@@ -150,6 +161,9 @@ def read_quantity(kind, number, text, unit, decimals):
         value, near, from_text = n[2], u[2] if u else None, True
     if value is None:
         return None
+    stated = isinstance(unit, str) and unit.strip()
+    if from_text and near is None and not stated and not _bare(plain, n):
+        return None
     if isinstance(unit, str) and unit.strip():
         own = _plain(unit)
         in_column = [h for h in unit_mentions(own, kind)]

@@ -71,7 +71,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def _quantities(spark: SparkSession, d: str) -> DataFrame:
     kinds = table(spark, d, "concepts").select("concept_id", "data_type")  # a fixed table: the planner broadcasts it by its size
     facts = spread(table(spark, d, "ixbrl_facts").select("fact_id", "concept_id", "value_num", "value_text", "unit", "decimals"))
-    return units.in_common_units(facts.join(kinds, "concept_id"), "data_type", "value_num", "value_text", "unit", "decimals")
+    return units.in_common_units(facts.join(kinds, "concept_id", "left"), "data_type", "value_num", "value_text", "unit", "decimals")
 
 
 def p5_quantities(spark: SparkSession, d: str) -> DataFrame:

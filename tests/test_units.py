@@ -35,6 +35,13 @@ CASES = [
     ("stringItemType", None, "15 kroner", None, 0, None, False),
     (None, 1.0, None, None, None, None, False),
     ("monetaryItemType", 1.0, None, "furlongs", 0, None, False),
+    ("monetaryItemType", None, "EUR 100", None, 0, None, False),
+    ("monetaryItemType", None, "100 €", None, 0, None, False),
+    ("massItemType", None, "5 lb", None, 0, None, False),
+    ("massItemType", None, "5 lb", "kg", 0, 5 * 10**6, True),
+    ("areaItemType", None, "12 (sq ft)", None, 0, None, False),
+    ("massItemType", None, "utgjør 5", None, 0, 5 * 10**6, True),
+    ("sharesItemType", None, "1 000", None, 0, 1000 * 10**6, True),
     ("monetaryItemType", 1e300, None, "NOK", 0, None, False),
 ]
 
