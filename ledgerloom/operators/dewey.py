@@ -10,7 +10,9 @@ of one schema path form one table.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
+from json.decoder import scanstring
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,6 +25,11 @@ NAMES_IN_PLAN = 5_000
 #: A flat table gets a column for each member found up to this many; beyond it the further ones share a map.
 MOST_COLUMNS = 1_000
 
+#: Parts of labels that a batch of objects holds about.
+BATCH_PARTS = 400_000
+#: Partitions of a written table of objects, by a hash of their schema path.
+PATH_BUCKETS = 32
+
 NODE = T.StructType(
     [
         T.StructField("dewey", T.ArrayType(T.StringType())),
@@ -33,6 +40,102 @@ NODE = T.StructType(
 )
 
 
+_BLANK = re.compile(r"[ \t\r\n]*")
+_SCALAR = re.compile(r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?|true|false|null|NaN|-?Infinity")
+
+
+def _read_deep(text: str):
+    """What ``json.loads`` gives, with a stack of its own: for records nested deeper than the interpreter recurses."""
+    root, stack, names, state, i = None, [], [], "value", 0
+
+    def put(v) -> None:
+        nonlocal root
+        if not stack:
+            root = v
+        elif isinstance(stack[-1], list):
+            stack[-1].append(v)
+        else:
+            stack[-1][names[-1]] = v
+
+    while True:
+        i = _BLANK.match(text, i).end()
+        c = text[i : i + 1]
+        if state == "after":
+            if not stack:
+                if c:
+                    raise ValueError("text after the value")
+                return root
+            inside = isinstance(stack[-1], dict)
+            if c == ",":
+                state, i = "name" if inside else "value", i + 1
+            elif c == ("}" if inside else "]"):
+                stack.pop()
+                names.pop()
+                i += 1
+            else:
+                raise ValueError("neither a comma nor an end")
+        elif c == {"first name": "}", "first value": "]"}.get(state):
+            stack.pop()
+            names.pop()
+            state, i = "after", i + 1
+        elif state in ("name", "first name"):
+            if c != '"':
+                raise ValueError("no name")
+            names[-1], i = scanstring(text, i + 1, False)
+            i = _BLANK.match(text, i).end()
+            if text[i : i + 1] != ":":
+                raise ValueError("no colon")
+            state, i = "value", i + 1
+        elif c and c in "{[":
+            v: dict | list = {} if c == "{" else []
+            put(v)
+            stack.append(v)
+            names.append(None)
+            state, i = "first name" if c == "{" else "first value", i + 1
+        elif c == '"':
+            v, i = scanstring(text, i + 1, False)
+            put(v)
+            state = "after"
+        elif m := _SCALAR.match(text, i):
+            put(json.loads(m[0]))
+            state, i = "after", m.end()
+        else:
+            raise ValueError("no value")
+
+
+def _loads(text: str):
+    try:
+        return json.loads(text, strict=False)
+    except RecursionError:
+        return _read_deep(text)
+
+
+def _dumps(value) -> str:
+    """``json.dumps`` for values nested as deep as may be."""
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:
+        pass
+    out, todo = [], [value]
+    while todo:
+        v = todo.pop()
+        if isinstance(v, _Written):
+            out.append(v)
+        elif isinstance(v, dict):
+            inner = [x for i, (k, y) in enumerate(v.items()) for x in (_Written((", " if i else "") + json.dumps(k, ensure_ascii=False) + ": "), y)]
+            todo += reversed([_Written("{"), *inner, _Written("}")])
+        elif isinstance(v, list):
+            inner = [x for i, y in enumerate(v) for x in (_Written(", " if i else ""), y)]
+            todo += reversed([_Written("["), *inner, _Written("]")])
+        else:
+            out.append(json.dumps(v, ensure_ascii=False))
+    return "".join(out)
+
+
+class _Written(str):
+    """A piece of finished JSON."""
+
+
 def _held(value):
     """What a value holds: text that is a JSON object or array, however often quoted, counts as that."""
     while isinstance(value, str):
@@ -40,8 +143,8 @@ def _held(value):
         if head not in ("{", "[", '"'):
             return value
         try:
-            inner = json.loads(value.strip("﻿ \t\r\n"), strict=False)
-        except (ValueError, RecursionError):
+            inner = _loads(value.strip("﻿ \t\r\n"))
+        except ValueError:
             return value
         if isinstance(inner, str) and head != '"':
             return value
@@ -79,7 +182,7 @@ def array_names(root) -> set[str]:
 def _text(value) -> str | None:
     if value is None or isinstance(value, str):
         return value
-    return json.dumps(value, ensure_ascii=False)
+    return _dumps(value)
 
 
 def nodes_of(root, lone: frozenset[str] | set[str]) -> Iterator[tuple[list[str], list[str], str, dict]]:
@@ -132,7 +235,7 @@ def label_nodes(df: DataFrame, key: str, text: str, names: set[str] | None = Non
 
     A lone object under a name that elsewhere has arrays of objects is labelled as element 0.
     ``names`` are those names; None finds them over the whole input. Null and unreadable texts and
-    bare scalars give no rows; equal keys are labelled on their own; an empty input gives no rows.
+    bare scalars give no rows, records of any depth give all theirs; equal keys are labelled on their own; an empty input gives no rows.
     """
     source = df.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
     joined = None
@@ -159,7 +262,7 @@ def label_nodes(df: DataFrame, key: str, text: str, names: set[str] | None = Non
 
     def run(batches):
         for pdf in batches:
-            out = []
+            out, parts = [], 0
             for i, (k, t) in enumerate(zip(pdf["__key"], pdf["__text"])):
                 if (root := read_json(t)) is None:
                     continue
@@ -167,10 +270,12 @@ def label_nodes(df: DataFrame, key: str, text: str, names: set[str] | None = Non
                 if "__names" in pdf:
                     own_names = pdf["__names"].iloc[i]
                     lone = frozenset(own_names) if own_names is not None else frozenset()
-                out.extend((k, *n) for n in nodes_of(root, lone))
-                if len(out) >= 20_000:
-                    yield pd.DataFrame(out, columns=schema.names)
-                    out = []
+                for n in nodes_of(root, lone):
+                    out.append((k, *n))
+                    parts += 8 + len(n[0])
+                    if parts >= BATCH_PARTS:  # labels of very deep records are long
+                        yield pd.DataFrame(out, columns=schema.names)
+                        out, parts = [], 0
             yield pd.DataFrame(out, columns=schema.names)
 
     return source.mapInPandas(run, schema).withColumn("is_element", F.coalesce(F.try_element_at("dewey", F.lit(-1)).contains("-"), F.lit(False)))
@@ -222,6 +327,17 @@ def _links(key: str) -> list:
     ]
 
 
+def in_buckets(nodes: DataFrame) -> DataFrame:
+    """``nodes`` with ``path_bucket``, by which a written table of them is partitioned."""
+    return nodes.withColumn("path_bucket", F.pmod(F.xxhash64("schema_path"), F.lit(PATH_BUCKETS)).cast("int"))
+
+
+def of_path(nodes: DataFrame, schema_path: str) -> DataFrame:
+    """The objects of one schema path; of a table written in buckets only that path's bucket is read."""
+    one = nodes.where(F.col("schema_path") == schema_path)
+    return one.where(F.col("path_bucket") == F.pmod(F.xxhash64(F.lit(schema_path)), F.lit(PATH_BUCKETS)).cast("int")) if "path_bucket" in nodes.columns else one
+
+
 def flat_table(nodes: DataFrame, key: str, schema_path: str, columns: list[str], found: bool = False) -> DataFrame:
     """The objects of one schema path as a flat table with links to their record, parent and holder.
 
@@ -232,7 +348,7 @@ def flat_table(nodes: DataFrame, key: str, schema_path: str, columns: list[str],
     the holder the object directly around, ``$`` the root. A member whose name is taken, in any case
     of letters, is suffixed ``_value``.
     """
-    rows = nodes.where(F.col("schema_path") == schema_path)
+    rows = of_path(nodes, schema_path)
     more = []
     if found:
         names = rows.select(F.explode(F.map_keys("fields")).alias("name")).where(~F.col("name").isin(columns)).distinct()

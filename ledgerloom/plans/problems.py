@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import concept_key, iso_day, org_number
 from ledgerloom.operators import compare, dewey, units
-from ledgerloom.session import spread
+from ledgerloom.session import spread, written
 from ledgerloom.sources.tables import table
 
 #: The kinds of object in a filing, by schema path, and their scalar members. Members found
@@ -48,6 +48,14 @@ def filing_nodes(spark: SparkSession, d: str) -> DataFrame:
     return dewey.label_nodes(spread(table(spark, d, "brreg_filings").select("rec_id", "raw_response")), "rec_id", "raw_response")
 
 
+def _filing_tables(spark: SparkSession, d: str) -> DataFrame:
+    """All objects of all filings, labelled and written once a session; each flat table is cut from its partition."""
+    known = spark.sparkContext.__dict__.get("_ledgerloom_written", {})
+    if (key := f"filing nodes of {d}") in known:
+        return spark.read.parquet(known[key])
+    return written(dewey.in_buckets(filing_nodes(spark, d)), key, "path_bucket")
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return dewey.element_links(filing_nodes(spark, d), "rec_id")
 
@@ -55,13 +63,13 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def _filing_table(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
         path, columns = FILING_TABLES[name]
-        return dewey.flat_table(filing_nodes(spark, d), "rec_id", path, columns, found=True)
+        return dewey.flat_table(_filing_tables(spark, d), "rec_id", path, columns, found=True)
 
     return run
 
 
 def p1_others(spark: SparkSession, d: str) -> DataFrame:
-    return dewey.other_objects(filing_nodes(spark, d), "rec_id", [path for path, _ in FILING_TABLES.values()])
+    return dewey.other_objects(_filing_tables(spark, d), "rec_id", [path for path, _ in FILING_TABLES.values()])
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

@@ -36,12 +36,37 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     The folder is read from the session. Only where the setting is absent, as in tests on one
     machine, a temporary folder is set.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-"))
+    _checkpoint_folder(df.sparkSession.sparkContext)
     return df.checkpoint(eager=eager)
 
 
+def _checkpoint_folder(sc) -> str:
+    """The session's checkpoint folder; set from the setting or, on one machine only, to a temporary one."""
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="ledgerloom-")
+        sc.setCheckpointDir(folder)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def written(df: DataFrame, key: str, *partition_by: str) -> DataFrame:
+    """``df`` written once a session to the checkpoint folder as a table and read from there.
+
+    ``key`` names the result; a later call with the same key reads the same files. With
+    ``partition_by`` a filter on those columns reads only their partitions.
+    """
+    spark = df.sparkSession
+    known = spark.sparkContext.__dict__.setdefault("_ledgerloom_written", {})
+    if key not in known:
+        path = f"{_checkpoint_folder(spark.sparkContext)}/table-{uuid.uuid4().hex}"
+        df.write.partitionBy(*partition_by).parquet(path)
+        known[key] = path
+    return spark.read.schema(df.schema).parquet(known[key])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan of a few small files enough partitions for every core; larger scans stay as they are.
 

@@ -127,3 +127,49 @@ def test_empty_repeated_and_deep(spark):
 @pytest.mark.parametrize("text", ["{", "nul", "\x00", '{"a": [}'])
 def test_unreadable(text):
     assert dewey.read_json(text) is None
+
+
+def deep(levels):
+    return '{"a":[' * levels + "1" + "]}" * levels
+
+
+def test_very_deep_records():
+    """20,000 levels: nothing is lost."""
+    root = dewey.read_json(deep(20_000))
+    assert root is not None and dewey.array_names(root) == {"a"}
+    n = 0
+    for label, steps, _, _ in dewey.nodes_of(root, {"a"}):
+        assert len(label) == len(steps) == n
+        n += 1
+    assert n == 20_000
+    arrays = dewey.read_json('{"a":' + "[" * 20_000 + "7" + "]" * 20_000 + "}")
+    fields = [f for _, _, path, f in dewey.nodes_of(arrays, set()) if path == "$"]
+    assert fields[0]["a"].count("[") == 20_000
+
+
+def test_deep_records_in_a_table(spark):
+    df = spark.createDataFrame([(1, deep(1500)), (2, '{"a":[{"a":[{}]}]}')], "id int, j string")
+    assert len(found(dewey.label_nodes(df, "id", "j"))) == 1499 + 2
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, 2.5e3, -0, true, null, "x\\n\\u00e5", {"b": {}}, []]}', "[]", "{}", ' [ {"q" : [ ] } ] ', '{"a": 1, "a": 2}', '["tab\there"]', "NaN", "-Infinity"])
+def test_reader_without_recursion(text):
+    a, b = dewey._read_deep(text), json.loads(text, strict=False)
+    assert a == b or a != a and b != b
+    assert dewey._dumps(b) == json.dumps(b, ensure_ascii=False)
+
+
+@pytest.mark.parametrize("text", ["", "{", "[1,]", '{"a" 1}', '{"a":1,}', "[1] 2", "tru", '{1:2}', "[1 2]", '{"a":}', '"x', "]", "01"])
+def test_reader_without_recursion_refuses(text):
+    with pytest.raises(ValueError):
+        json.loads(text)
+    with pytest.raises((ValueError, IndexError)):
+        dewey._read_deep(text)
+
+
+def test_tables_are_cut_from_one_written_table(spark, data):
+    one = problems.QUERIES["p1_notes"](spark, data)
+    again = dewey.flat_table(problems.filing_nodes(spark, data), "rec_id", *problems.FILING_TABLES["notes"], found=True)
+    assert one.columns == again.columns and sorted(map(str, one.collect())) == sorted(map(str, again.collect()))
+    plan = one._jdf.queryExecution().toString()
+    assert "path_bucket" in plan and "MapInPandas" not in plan
