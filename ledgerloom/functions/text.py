@@ -48,17 +48,31 @@ ENGINE_LANGUAGES = {"no": "nor", "nb": "nor", "nn": "nor", "en": "eng"}
 
 
 @F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """NFKC; ASCII texts come back as they are."""
-    return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
+def _nfkc(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x))
 
 
 @F.pandas_udf(T.StringType())
-def nfkc_casefold(s: pd.Series) -> pd.Series:
-    """NFKC, then full case folding."""
+def _nfkc_casefold(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).casefold())
 
 
+def _beyond_ascii(c: Column, plain: Column, function) -> Column:
+    """``plain`` for ASCII texts, in the JVM; only the others are sent to Python, nulls in place of the rest."""
+    ascii_only = c.rlike(r"^\p{ASCII}*$")
+    return F.when(c.isNull() | ascii_only, plain).otherwise(function(F.when(~ascii_only, c)))
+
+
+def nfkc(c: Column) -> Column:
+    """NFKC; ASCII texts come back as they are."""
+    return _beyond_ascii(c, c, _nfkc)
+
+
+def nfkc_casefold(c: Column) -> Column:
+    """NFKC, then full case folding."""
+    return _beyond_ascii(c, F.lower(c), _nfkc_casefold)
+
+
 def plain_minus(c: Column) -> Column:
     """Dash variants as the ASCII minus (OP-T1)."""
     return F.translate(c, DASHES, "-" * len(DASHES))

@@ -44,7 +44,7 @@ def row_facts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """
     label = F.col("cells")[0]
     good = rows.where((F.size("cells") >= 2) & (F.trim(label) != "") & (F.length(label) <= MOST_LABEL))
-    each = good.select(*keys, "row_idx", label.alias("label"), F.posexplode(F.slice("cells", 2, 100_000)).alias("col_no", "value_text"))
+    each = good.select(*keys, "row_idx", label.alias("label"), F.posexplode(F.slice("cells", 2, F.size("cells"))).alias("col_no", "value_text"))
     return each.where((F.trim("value_text") != "") & looks_numeric(F.col("value_text"))).withColumn("col_no", F.col("col_no") + 1)
 
 
@@ -143,12 +143,12 @@ def annotation_pages(annotated: DataFrame, key: str, label: str = "facts") -> Da
 # exchange documents ----------------------------------------------------
 
 
-def exchange_facts(facts: DataFrame, concepts: DataFrame, period_start: Column, currency: str = "NOK") -> DataFrame:
+def exchange_facts(facts: DataFrame, concepts: DataFrame, period_start: Column, currency: str = "NOK", keep: tuple[str, ...] = ()) -> DataFrame:
     """Facts with context, unit, number text and sign of the exchange format (OP-X2 to X4).
 
     ``facts``: fact_id, concept_id, value_num, value_text, period_end, decimals, unit, period_type.
     Period type and unit come from the fact, else from the vocabulary, else duration and the
-    currency. A concept without a prefix is an error.
+    currency. A concept without a prefix is an error. Columns in ``keep`` are carried along.
     """
     known = concepts.select("concept_id", F.col("period_type").alias("__pt"), F.lower("data_type").alias("__dt"))
     f = facts.join(known, "concept_id", "left").where(F.when(~F.contains("concept_id", F.lit(":")), F.raise_error(F.concat(F.lit("concept without prefix: "), "concept_id")).cast("boolean")).otherwise(True))
@@ -160,6 +160,7 @@ def exchange_facts(facts: DataFrame, concepts: DataFrame, period_start: Column,
     is_text = F.col("value_num").isNull() & ~F.coalesce(text_number, F.lit(False))
     start = period_start
     return out.select(
+        *keep,
         "fact_id",
         "concept_id",
         F.split_part("concept_id", F.lit(":"), F.lit(1)).alias("prefix"),

@@ -5,6 +5,8 @@ Distinct labels are resolved once; costly stages see only what earlier ones left
 
 from __future__ import annotations
 
+from bisect import insort
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -22,6 +24,15 @@ def label_index(labels: DataFrame, nynorsk: bool = True) -> DataFrame:
     return labels.where(F.col("subject_kind") == "concept").withColumn("form", label_form(F.col("text"), nynorsk)).where(F.coalesce("form", F.lit("")) != "")
 
 
+def _of_equal_form(keys: DataFrame, index: DataFrame, top_k: int) -> DataFrame:
+    """For ``__form, __lang`` that some label equals: the best label's concept, language and role, and the next ones."""
+    rank = F.struct(
+        (~F.coalesce(F.col("i.lang") == F.col("__lang"), F.lit(False))).cast("int").alias("a"), (F.col("i.role") != "standardLabel").cast("int").alias("b"), F.col("i.subject_id").endswith("Funksjon").cast("int").alias("c"), F.col("i.subject_id").alias("id"), F.col("i.lang").alias("lang"), F.col("i.role").alias("role")
+    )
+    hit = keys.alias("k").join(index.alias("i"), F.col("k.__form") == F.col("i.form")).groupBy("__form", "__lang").agg(F.array_sort(F.collect_list(rank)).alias("r"))
+    return hit.select("__form", "__lang", F.col("r")[0]["id"].alias("concept_id"), F.col("r")[0]["lang"].alias("match_lang"), F.col("r")[0]["role"].alias("match_role"), F.transform(F.slice("r", 2, top_k - 1), lambda x: x["id"]).alias("others"))
+
+
 def exact(queries: DataFrame, index: DataFrame, query: str = "query", lang: str | None = "lang_pref", top_k: int = 5) -> DataFrame:
     """``queries`` with ``concept_id``, ``match_lang``, ``match_role``, ``others`` by equal form (OP-R4).
 
@@ -30,11 +41,7 @@ def exact(queries: DataFrame, index: DataFrame, query: str = "query", lang: str
     """
     q = queries.withColumn("__form", label_form(F.col(query)))
     keys = q.select("__form", *([F.col(lang).alias("__lang")] if lang else [F.lit(None).cast("string").alias("__lang")])).where(F.coalesce("__form", F.lit("")) != "").distinct()
-    rank = F.struct(
-        (~F.coalesce(F.col("i.lang") == F.col("__lang"), F.lit(False))).cast("int").alias("a"), (F.col("i.role") != "standardLabel").cast("int").alias("b"), F.col("i.subject_id").endswith("Funksjon").cast("int").alias("c"), F.col("i.subject_id").alias("id"), F.col("i.lang").alias("lang"), F.col("i.role").alias("role")
-    )
-    hit = keys.alias("k").join(index.alias("i"), F.col("k.__form") == F.col("i.form")).groupBy("__form", "__lang").agg(F.array_sort(F.collect_list(rank)).alias("r"))
-    found = hit.select("__form", "__lang", F.col("r")[0]["id"].alias("concept_id"), F.col("r")[0]["lang"].alias("match_lang"), F.col("r")[0]["role"].alias("match_role"), F.transform(F.slice("r", 2, top_k - 1), lambda x: x["id"]).alias("others"))
+    found = _of_equal_form(keys, index, top_k)
     same = (F.col("q.__form") == F.col("f.__form")) & (F.col(f"q.{lang}").eqNullSafe(F.col("f.__lang")) if lang else F.lit(True))
     return q.alias("q").join(found.alias("f"), same, "left").select("q.*", "f.concept_id", "f.match_lang", "f.match_role", "f.others").drop("__form")
 
@@ -103,13 +110,18 @@ class _Labels:
         left out by that, without changing the result.
         """
         words = " ".join(sorted(set(form.split())))
-        near = {n for w in words.split() for n in self.of_word.get(w, ())}
-        if len(self.labels):
-            bound = 200.0 * np.minimum(self.counts, np.array(self._count(words))).sum(axis=1) / (self.sizes + len(words))
-            near.update(np.flatnonzero(bound >= threshold).tolist())
-        if not near or max(token_set_ratio(form, self.labels[n][0]) for n in near) < threshold:
+        if not words or not self.labels:
             return []
-        return sorted((-token_set_ratio(form, t), n) for n, (t, _) in enumerate(self.labels))[:top_k]
+        bound = 200.0 * np.minimum(self.counts, np.array(self._count(words))).sum(axis=1) / (self.sizes + len(words))
+        bound[[n for w in words.split() for n in self.of_word.get(w, ())]] = 100.0
+        top: list[tuple[float, int]] = []
+        for n in np.argsort(-bound, kind="stable").tolist():
+            # no label from here on can reach the threshold, or come among the best
+            if bound[n] < threshold and (not top or -top[0][0] < threshold) or len(top) == top_k and bound[n] < -top[-1][0]:
+                break
+            insort(top, (-token_set_ratio(form, self.labels[n][0]), n))
+            del top[top_k:]
+        return top if top and -top[0][0] >= threshold else []
 
 
 def fuzzy(queries: DataFrame, index: DataFrame, query: str = "query", threshold: float = 95.0, top_k: int = 5) -> DataFrame:
@@ -180,30 +192,93 @@ def nearest(queries: DataFrame, base: DataFrame, key: str, vector: str, threshol
     return ranked.join(good, "query_key", "left_semi").select("query_key", key, "rank", "cosine")
 
 
-def resolve(queries: DataFrame, labels: DataFrame, query: str = "query", lang: str | None = "lang_pref", use_fuzzy: bool = True, threshold: float = 95.0, top_k: int = 5) -> DataFrame:
-    """All stages (OP-R8, R9): ``queries`` with ``concept_id``, ``method``, ``confidence``, ``chain``.
+CANDIDATE = "struct<concept_id:string,confidence:double,method:string>"
+
+
+class _Vectors:
+    """The vectors of a label list, for products with those of queries."""
 
-    Each stage sees only what is left. Without a match the concept is null and the chain ends in none;
-    an empty text has the chain none alone. Vectors are a stage of their own, see `nearest`.
+    def __init__(self, rows: list[tuple[str, list[float]]]):
+        self.ids = [r[0] for r in rows]
+        m = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        n = np.linalg.norm(m, axis=1, keepdims=True)
+        self.m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+    def best(self, vector, threshold: float, top_k: int) -> list[tuple[float, str]]:
+        """The nearest labels, if the first is near enough; of equals the smaller id first."""
+        if vector is None or not self.ids:
+            return []
+        v = np.asarray(vector, dtype=np.float64)
+        n = float(np.linalg.norm(v))
+        if not n:
+            return []
+        sims = self.m @ (v / n)
+        floor = np.partition(-sims, min(top_k, len(sims)) - 1)[min(top_k, len(sims)) - 1]
+        top = sorted((float(-sims[k]), self.ids[k]) for k in np.flatnonzero(-sims <= floor))[:top_k]
+        return top if -top[0][0] >= threshold else []
+
+
+def resolve(
+    queries: DataFrame, labels: DataFrame, query: str = "query", lang: str | None = "lang_pref", use_fuzzy: bool = True, threshold: float = 95.0, top_k: int = 5,
+    vectors: tuple[DataFrame, DataFrame] | None = None, vector_threshold: float = 0.78,
+) -> DataFrame:
+    """All stages (OP-R8, R9): ``queries`` with ``concept_id``, ``method``, ``confidence``, ``chain``, ``candidates``, ``match_lang``, ``match_role``.
+
+    Each distinct form and language goes through the stages once, and a stage only sees what is left:
+    equal forms, then token-set similarity, then, where ``vectors`` are given, the cosine of vectors.
+    Those are two tables, ``form, vector`` of queries (forms as of `label_form`) and ``subject_id,
+    vector`` of labels. ``candidates`` are the next best of the stage that matched, ``top_k`` with the
+    match. Without a match the concept is null, there are no candidates and the chain ends in none; an
+    empty text has the chain none alone.
     """
     index = label_index(labels)
-    one = exact(queries, index, query, lang, top_k).drop("match_lang", "match_role", "others")
-    done = one.where(F.col("concept_id").isNotNull()).withColumn("method", F.lit("exact")).withColumn("confidence", F.lit(1.0)).withColumn("chain", F.array(F.lit("exact")))
-    left = one.where(F.col("concept_id").isNull()).drop("concept_id")
-    blank = F.coalesce(one_blank(F.col(query)), F.lit("")) == ""
-    none_chain = F.when(blank, F.array(F.lit("none"))).otherwise(F.array(*[F.lit(x) for x in (["exact", "fuzzy", "none"] if use_fuzzy else ["exact", "none"])]))
-    if not use_fuzzy:
-        rest = left.withColumn("concept_id", F.lit(None).cast("string")).withColumn("method", F.lit("none")).withColumn("confidence", F.lit(None).cast("double")).withColumn("chain", none_chain)
-        return done.unionByName(rest)
-    two = fuzzy(left, index, query, threshold, top_k)
-    hit = F.col("concept_id").isNotNull()
-    rest = two.withColumn("method", F.when(hit, "fuzzy").otherwise("none")).withColumn("confidence", F.col("score") / 100).withColumn("chain", F.when(hit, F.array(F.lit("exact"), F.lit("fuzzy"))).otherwise(none_chain)).drop("score", "others")
-    return done.unionByName(rest)
+    q = queries.withColumn("__form", label_form(F.col(query))).withColumn("__lang", F.col(lang) if lang else F.lit(None).cast("string"))
+    keys = q.select("__form", "__lang").where(F.coalesce("__form", F.lit("")) != "").distinct()
+    same = (F.col("k.__form") == F.col("f.__form")) & F.col("k.__lang").eqNullSafe(F.col("f.__lang"))
+    first = keys.alias("k").join(_of_equal_form(keys, index, top_k).alias("f"), same, "left").select("k.__form", "k.__lang", "f.concept_id", "f.match_lang", "f.match_role", "f.others")
+    if vectors is not None:
+        first = first.join(vectors[0].groupBy(F.col("form").alias("__form")).agg(F.first("vector").alias("__vector")), "__form", "left")
+    listed = _label_list(index) if use_fuzzy else []
+    near = None
+    if vectors is not None:
+        rows = vectors[1].where(F.col("vector").isNotNull()).select("subject_id", "vector").orderBy("subject_id").limit(MOST_LABELS + 1).collect()
+        if len(rows) > MOST_LABELS:
+            raise ValueError(f"more than {MOST_LABELS} label vectors")
+        near = [(r[0], r[1]) for r in rows]
+    stages = ["exact", *(["fuzzy"] if use_fuzzy else []), *(["embedding"] if near is not None else [])]
+
+    def run(batches):
+        known = _Labels(listed) if use_fuzzy else None
+        by_vector = _Vectors(near) if near is not None else None
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                if isinstance(r.concept_id, str):
+                    others = [] if r.others is None else [(c, 1.0, "exact") for c in r.others]
+                    out.append((r[0], r[1], r.concept_id, "exact", 1.0, ["exact"], others, r.match_lang, r.match_role))
+                    continue
+                found, how = [], "none"
+                if known is not None:
+                    found, how = [(listed[n][1], -s / 100.0) for s, n in known.best(r[0], threshold, top_k)], "fuzzy"
+                if not found and by_vector is not None:
+                    found, how = [(c, -s) for s, c in by_vector.best(r[-1], vector_threshold, top_k)], "embedding"
+                if not found:
+                    out.append((r[0], r[1], None, "none", None, [*stages, "none"], [], None, None))
+                    continue
+                out.append((r[0], r[1], found[0][0], how, found[0][1], stages[: stages.index(how) + 1], [(c, s, how) for c, s in found[1:]], None, None))
+            yield pd.DataFrame(out, columns=columns)
+
+    columns = ["__form", "__lang", "concept_id", "method", "confidence", "chain", "candidates", "match_lang", "match_role"]
+    schema = f"__form string, __lang string, concept_id string, method string, confidence double, chain array<string>, candidates array<{CANDIDATE}>, match_lang string, match_role string"
+    done = fan_out(first).mapInPandas(run, schema)
+    same = (F.col("q.__form") == F.col("d.__form")) & F.col("q.__lang").eqNullSafe(F.col("d.__lang"))
+    joined = q.alias("q").join(done.alias("d"), same, "left").select("q.*", *[F.col(f"d.{c}") for c in columns[2:]]).drop("__form", "__lang")
+    return joined.withColumn("method", F.coalesce("method", F.lit("none"))).withColumn("chain", F.coalesce("chain", F.array(F.lit("none")))).withColumn("candidates", F.coalesce("candidates", F.array().cast(f"array<{CANDIDATE}>")))
 
 
 def resolve_envelope(resolved: DataFrame, query: str = "query") -> DataFrame:
     """Resolutions as JSON objects (OP-K9); absent members are left out."""
-    return resolved.select(query, F.to_json(F.struct(F.col(query).alias("query"), "concept_id", "confidence", "method", F.col("chain").alias("method_chain"))).alias("json"))
+    return resolved.select(query, F.to_json(F.struct(F.col(query).alias("query"), "concept_id", "confidence", "method", "candidates", F.col("chain").alias("method_chain"))).alias("json"))
 
 
 # the vocabulary --------------------------------------------------------

@@ -77,6 +77,27 @@ def _first_fit(ls, ts, rs, bs, voters, least_iou: float) -> list[list[int]]:
     return members
 
 
+def _pages(cells: DataFrame) -> DataFrame:
+    """A row per page with its cells in voter and cell order (``all``); the one shuffle of the votes by box."""
+    member = F.struct("voter_ord", "cell_idx", "voter", "text", "confidence", "bbox", *(["norm"] if "norm" in cells.columns else []))
+    return cells.groupBy(*PAGE).agg(F.array_sort(F.collect_list(member)).alias("all"))
+
+
+def _folded(pages: DataFrame, least_iou: float, *carried: str) -> DataFrame:
+    """A row per page and cluster with its ``members``; cells without a whole box take no part."""
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def assign(ls: pd.Series, ts: pd.Series, rs: pd.Series, bs: pd.Series, vs: pd.Series) -> pd.Series:
+        return pd.Series([_first_fit(*(x.tolist() for x in page), least_iou) for page in zip(ls, ts, rs, bs, vs)], dtype=object)
+
+    assign = assign.asNondeterministic()  # else a filter on its result would have it, and what it reads, worked out once more
+    whole = lambda m: m["bbox"]["l"].isNotNull() & m["bbox"]["t"].isNotNull() & m["bbox"]["r"].isNotNull() & m["bbox"]["b"].isNotNull()
+    part = lambda k: F.transform("all", lambda m: m["bbox"][k])
+    folded = pages.withColumn("all", F.filter("all", whole)).withColumn("k", assign(part("l"), part("t"), part("r"), part("b"), F.transform("all", lambda m: m["voter"])))
+    each = folded.select(*PAGE, *carried, "all", F.posexplode("k").alias("cluster_no", "at"))
+    return each.select(*PAGE, *carried, "cluster_no", F.transform("at", lambda i: F.get("all", i)).alias("members"))
+
+
 def clusters(cells: DataFrame, least_iou: float = 0.3) -> DataFrame:
     """Cells of a page put into clusters, greedily in voter and cell order (OP-V5).
 
@@ -85,53 +106,92 @@ def clusters(cells: DataFrame, least_iou: float = 0.3) -> DataFrame:
     box take no part. The order decides, so a page is one unit of work; only its boxes go to Python
     (Arrow), the cells are picked by place in the JVM. A page is a bounded group.
     """
-    member = F.struct("voter_ord", "cell_idx", "voter", "text", "confidence", "bbox")
-    whole = F.col("bbox.l").isNotNull() & F.col("bbox.t").isNotNull() & F.col("bbox.r").isNotNull() & F.col("bbox.b").isNotNull()
-    page = cells.where(whole).groupBy(*PAGE).agg(F.array_sort(F.collect_list(member)).alias("all"))
+    return _folded(_pages(cells), least_iou)
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-    def assign(ls: pd.Series, ts: pd.Series, rs: pd.Series, bs: pd.Series, vs: pd.Series) -> pd.Series:
-        return pd.Series([_first_fit(*(x.tolist() for x in page), least_iou) for page in zip(ls, ts, rs, bs, vs)], dtype=object)
 
-    part = lambda k: F.transform("all", lambda m: m["bbox"][k])
-    folded = page.withColumn("k", assign(part("l"), part("t"), part("r"), part("b"), F.transform("all", lambda m: m["voter"])))
-    each = folded.select(*PAGE, "all", F.posexplode("k").alias("cluster_no", "at"))
-    return each.select(*PAGE, "cluster_no", F.transform("at", lambda i: F.get("all", i)).alias("members"))
+def _ranked(members: Column, norm: str = "norm", voter: str = "voter") -> Column:
+    """The readings of a cluster, most votes first, of equals the text that sorts first: (minus_n, text, voters)."""
+    of = lambda x: F.filter(members, lambda m: m[norm].eqNullSafe(x))
+    voters = lambda x: F.array_sort(F.array_distinct(F.transform(of(x), lambda m: m[voter])))
+    return F.array_sort(F.transform(F.array_distinct(F.transform(members, lambda m: m[norm])), lambda x: F.struct((-F.size(of(x))).alias("minus_n"), x.alias("text"), voters(x).alias("voters"))))
+
+
+def vote_members(voted: DataFrame, keys: list[str], members: str = "members") -> DataFrame:
+    """Per cluster the winning text, its voters, all voters and the other readings (OP-V6), without a shuffle.
+
+    ``members`` are structs with ``norm``, the form in which texts are compared, and ``voter``.
+    """
+    return voted.withColumn("ranked", _ranked(F.col(members))).select(
+        *keys,
+        F.col("ranked")[0]["text"].alias("consensus_text"),
+        F.col("ranked")[0]["voters"].alias("voters_hit"),
+        F.array_sort(F.array_distinct(F.transform(members, lambda m: m["voter"]))).alias("voters_attempted"),
+        F.transform(F.slice("ranked", 2, F.size("ranked")), lambda x: F.struct(x["text"].alias("text"), x["voters"].alias("voters"))).alias("alternatives"),
+    )
 
 
 def vote_clusters(members: DataFrame, keys: list[str], text: str = "text", voter: str = "voter") -> DataFrame:
-    """Per cluster: winning text, its voters, all voters and the other readings (OP-V6).
+    """`vote_members` for rows of members, as where clusters are given by ``keys``.
 
-    Texts are compared in their normal form; most votes win, of equals the text that sorts first.
-    Input is one row per member with ``norm``, the normal form.
+    Texts are compared in their normal form; input is one row per member with ``norm``, the normal form.
     """
     votes = members.groupBy(*keys, "norm").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(voter)).alias("voters"))
-    return votes.groupBy(*keys).agg(
-        F.min_by(F.struct("norm", "n", "voters"), F.struct((-F.col("n")).alias("n"), "norm")).alias("w"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("voters")))).alias("voters_attempted"),
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus_n"), F.col("norm").alias("text"), "voters"))).alias("ranked"),
-    ).select(*keys, F.col("w.norm").alias("consensus_text"), F.col("w.voters").alias("voters_hit"), "voters_attempted", F.transform(F.slice("ranked", 2, 1_000_000), lambda x: F.struct(x["text"].alias("text"), x["voters"].alias("voters"))).alias("alternatives"))
+    grouped_votes = votes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("minus_n"), F.col("norm").alias("text"), "voters"))).alias("ranked"))
+    return grouped_votes.select(
+        *keys,
+        F.col("ranked")[0]["text"].alias("consensus_text"),
+        F.col("ranked")[0]["voters"].alias("voters_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform("ranked", lambda x: x["voters"])))).alias("voters_attempted"),
+        F.transform(F.slice("ranked", 2, F.size("ranked")), lambda x: F.struct(x["text"].alias("text"), x["voters"].alias("voters"))).alias("alternatives"),
+    )
+
+
+def _page_drop(cells: str, width: float, min_columns: int = 2, gap_share: float = 0.15) -> Column:
+    """`column_drop` within the row of a page: the voters that lost a column, sorted."""
+
+    def of_voter(v):
+        own = F.filter(cells, lambda m: m["voter"].eqNullSafe(v))
+        xs = F.array_sort(F.filter(F.transform(own, lambda m: (m["bbox"]["l"] + m["bbox"]["r"]) / 2), lambda x: x.isNotNull()))
+        return F.struct(v.alias("voter"), F.array_min(F.transform(own, lambda m: m["voter_ord"])).alias("voter_ord"), F.size(own).alias("n_cells"), xs.alias("xs"))
+
+    def measured(s):
+        gaps = F.when(F.size(s["xs"]) > 1, F.zip_with(F.slice(s["xs"], 2, F.size(s["xs"])), F.slice(s["xs"], 1, F.size(s["xs"]) - 1), lambda a, b: a - b)).otherwise(F.array().cast("array<double>"))
+        bins = F.when(F.size(s["xs"]) > 0, 1).otherwise(0) + F.size(F.filter(gaps, lambda g: g > width * 0.05))
+        return F.struct(s["voter"].alias("voter"), s["voter_ord"].alias("voter_ord"), s["n_cells"].alias("n_cells"), bins.alias("bins"), F.coalesce(F.array_max(gaps), F.lit(0.0)).alias("max_gap"))
+
+    stats = F.transform(F.transform(F.array_distinct(F.transform(cells, lambda m: m["voter"])), of_voter), measured)
+
+    def lost(all_of):
+        def usual(s):
+            same = F.filter(all_of, lambda o: o["bins"] == s["bins"])
+            first = F.array_min(F.transform(same, lambda o: F.struct(o["voter_ord"].alias("o"), o["voter"].alias("v"))))
+            return F.struct((-F.size(same)).alias("n"), first.alias("first"), s["bins"].alias("bins"), F.array_max(F.transform(same, lambda o: o["n_cells"])).alias("most"))
+
+        mode = F.array_min(F.transform(all_of, usual))
+        gone = F.filter(all_of, lambda s: (mode["bins"] >= min_columns) & (s["bins"] < mode["bins"]) & ((s["max_gap"] > gap_share * width) | (s["n_cells"] < 0.7 * mode["most"])))
+        return F.array_sort(F.transform(gone, lambda s: s["voter"]))
+
+    # the statistics are named once, by a fold over the one list of them
+    return F.flatten(F.transform(F.array(stats), lost))
 
 
 def bbox_vote(cells: DataFrame, width: float = 1000.0, min_voters: int = 7, least_iou: float = 0.3, veto: bool = True) -> DataFrame:
     """Diagnostics of every cluster, committed or not (OP-V7).
 
     The box is that of the winners only; ``committed`` where at least ``min_voters`` agree; confidence
-    is the share of the cluster's voters.
+    is the share of the cluster's voters. Cells are shuffled once, to their page; dropped voters,
+    clusters and votes are worked out within the page's row.
     """
-    kept = cells
-    dropped = None
+    pages = _pages(cells.withColumn("norm", normalise_text(F.coalesce("text", F.lit("")))))
     if veto:
-        dropped = column_drop(cells, width)
-        kept = cells.join(dropped, [*PAGE, "voter"], "left_anti")
-    k = clusters(kept, least_iou)
-    members = k.select(*PAGE, "cluster_no", F.explode("members").alias("m")).select(*PAGE, "cluster_no", "m.*").withColumn("norm", normalise_text(F.coalesce("text", F.lit(""))))
+        pages = pages.withColumn("column_dropped_voters", _page_drop("all", width)).withColumn("all", F.filter("all", lambda m: ~F.coalesce(F.array_contains("column_dropped_voters", m["voter"]), F.lit(False))))
+    else:
+        pages = pages.withColumn("column_dropped_voters", F.array().cast("array<string>"))
     keys = [*PAGE, "cluster_no"]
-    won = vote_clusters(members, keys)
-    boxes = members.join(won.select(*keys, "consensus_text"), keys).where(F.col("norm") == F.col("consensus_text")).groupBy(*keys).agg(
-        F.struct(F.min("bbox.l").alias("l"), F.min("bbox.t").alias("t"), F.max("bbox.r").alias("r"), F.max("bbox.b").alias("b")).alias("bbox")
-    )
-    out = won.join(boxes, keys).select(
+    won = vote_members(_folded(pages, least_iou, "column_dropped_voters"), [*keys, "column_dropped_voters", "members"])
+    hit = F.filter("members", lambda m: m["norm"].eqNullSafe(F.col("consensus_text")))
+    side = lambda k, f: f(F.transform(hit, lambda m: m["bbox"][k])).alias(k)
+    return won.select(
         *keys,
         F.concat(F.lit("cluster:"), F.col("cluster_no").cast("string")).alias("cluster_id"),
         "consensus_text",
@@ -140,14 +200,11 @@ def bbox_vote(cells: DataFrame, width: float = 1000.0, min_voters: int = 7, leas
         F.size("voters_hit").alias("n_hit"),
         F.size("voters_attempted").alias("n_attempted"),
         "alternatives",
-        "bbox",
+        F.struct(side("l", F.array_min), side("t", F.array_min), side("r", F.array_max), side("b", F.array_max)).alias("bbox"),
         (F.size("voters_hit") >= min_voters).alias("committed"),
         (F.size("voters_hit") / F.size("voters_attempted")).alias("confidence"),
+        "column_dropped_voters",
     )
-    if dropped is None:
-        return out.withColumn("column_dropped_voters", F.array().cast("array<string>"))
-    lost = dropped.groupBy(*PAGE).agg(F.array_sort(F.collect_set("voter")).alias("column_dropped_voters"))
-    return out.join(lost, PAGE, "left").withColumn("column_dropped_voters", F.coalesce("column_dropped_voters", F.array().cast("array<string>")))
 
 
 # tokens ----------------------------------------------------------------

@@ -10,6 +10,7 @@ from ledgerloom.functions import geometry, text
 from ledgerloom.functions.keys import concept_key, iso_day, org_number
 from ledgerloom.operators import annotate, cascade, drift, observe, resolve, schemagen, score, validate, vote
 from ledgerloom.plans.problems import _P6
+from ledgerloom.session import checkpoint
 from ledgerloom.sources import filings
 from ledgerloom.sources.tables import table
 
@@ -30,8 +31,8 @@ def _side(spark: SparkSession, d: str, source: str) -> DataFrame:
 
 
 def _filing():
-    """An organisation's filing of a period; unlike an organisation it doesn't grow with the data."""
-    return F.concat_ws("/", "orgnr", "period_end")
+    """An organisation's filing of a period; unlike an organisation it doesn't grow with the data. A fact without either is on its own."""
+    return F.coalesce(F.concat("orgnr", F.lit("/"), "period_end"), F.concat(F.lit("fact/"), F.col("fact_id").cast("string")))
 
 
 def diff_entries(spark, d):
@@ -518,7 +519,26 @@ def fuzzy_resolve(spark, d):
 
 def resolve_cascade(spark, d):
     out = resolve.resolve(_queries(spark, d), table(spark, d, "concept_labels"))
-    return out.select("query_id", "concept_id", "method", F.round("confidence", 6).alias("confidence"), F.array_join("chain", ">").alias("chain"))
+    return out.select("query_id", "concept_id", "method", F.round("confidence", 6).alias("confidence"), F.array_join("chain", ">").alias("chain"), F.array_join(F.transform("candidates", lambda c: c["concept_id"]), ",").alias("candidates"))
+
+
+def resolve_vectors(spark, d):
+    """Every tenth vector as a text that no label equals, all others as labels: the last stage decides."""
+    v = table(spark, d, "embeddings").select("vec_id", "embedding")
+    name = lambda p: F.concat(F.lit(p), F.col("vec_id").cast("string"))
+    asked, listed = v.where("vec_id % 10 = 0"), v.where("vec_id % 10 <> 0")
+    labels = listed.select(name("l").alias("subject_id"), F.lit("concept").alias("subject_kind"), F.lit("nb").alias("lang"), F.lit("standardLabel").alias("role"), name("label ").alias("text"))
+    q = asked.select("vec_id", name("q").alias("query"), F.lit("nb").alias("lang_pref"))
+    out = resolve.resolve(q, labels, vectors=(asked.select(text.label_form(name("q")).alias("form"), F.col("embedding").alias("vector")), listed.select(name("l").alias("subject_id"), F.col("embedding").alias("vector"))), vector_threshold=0.2)
+    return out.select("vec_id", "concept_id", "method", F.round("confidence", 5).alias("confidence"), F.array_join("chain", ">").alias("chain"), F.array_join(F.transform("candidates", lambda c: c["concept_id"]), ",").alias("candidates"))
+
+
+_VECTORS = """
+WITH p AS (SELECT q.vec_id, 'l' || b.vec_id AS id, list_cosine_similarity(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings q, embeddings b WHERE q.vec_id % 10 = 0 AND b.vec_id % 10 <> 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, id) AS n FROM p QUALIFY n <= 5),
+a AS (SELECT vec_id, max(c) AS best, min(id) FILTER (n = 1) AS first, string_agg(id, ',' ORDER BY n) FILTER (n > 1) AS rest FROM r GROUP BY 1)
+SELECT vec_id, CASE WHEN best >= 0.2 THEN first END AS concept_id, CASE WHEN best >= 0.2 THEN 'embedding' ELSE 'none' END AS method, CASE WHEN best >= 0.2 THEN round(best, 5) END AS confidence,
+  'exact>fuzzy>embedding' || CASE WHEN best >= 0.2 THEN '' ELSE '>none' END AS chain, CASE WHEN best >= 0.2 THEN rest ELSE '' END AS candidates FROM a"""
 
 
 def resolve_json(spark, d):
@@ -681,7 +701,7 @@ def key_values(spark, d):
 
 
 _KEY_VALUES = """
-WITH f AS (SELECT concat_ws('/', orgnr, period_end) AS filing, fact_id, concept_id, coalesce(value_text, '') AS value_text, (row_number() OVER (PARTITION BY concat_ws('/', orgnr, period_end) ORDER BY fact_id) - 1)::INT AS i FROM ixbrl_facts)
+WITH f AS (SELECT coalesce(orgnr || '/' || period_end, 'fact/' || fact_id) AS filing, fact_id, concept_id, coalesce(value_text, '') AS value_text, (row_number() OVER (PARTITION BY coalesce(orgnr || '/' || period_end, 'fact/' || fact_id) ORDER BY fact_id) - 1)::INT AS i FROM ixbrl_facts)
 SELECT filing, i AS link_no, i * 2 AS key_cell, concept_id AS key_text, i * 2 + 1 AS value_cell, value_text FROM f"""
 
 
@@ -705,7 +725,7 @@ def collection_json(spark, d):
 
 def _exchanged(spark, d):
     t = table(spark, d, "ixbrl_facts")
-    return annotate.exchange_facts(t.drop("orgnr"), table(spark, d, "concepts"), F.lit("2024-01-01"))
+    return annotate.exchange_facts(t.withColumn("filing", _filing()), table(spark, d, "concepts"), F.lit("2024-01-01"), keep=("filing",))
 
 
 def xbrl_contexts(spark, d):
@@ -729,9 +749,7 @@ _XBRL_CONTEXTS = f"WITH {_XBRL} SELECT context_id, min(period_type) AS period_ty
 
 
 def xbrl_documents(spark, d):
-    t = table(spark, d, "ixbrl_facts")
-    x = _exchanged(spark, d).join(t.select("fact_id", _filing().alias("filing")), "fact_id")
-    return annotate.exchange_documents(x, "filing", "schema.xsd")
+    return annotate.exchange_documents(_exchanged(spark, d), "filing", "schema.xsd")
 
 
 # schemas and files -----------------------------------------------------
@@ -770,7 +788,7 @@ _RECORDS = "SELECT rec_id, orgnr, journalnr, period_from, coalesce(cardinality(k
 
 def ledger(spark, d):
     cells = _cells(spark, d)
-    diagnostics = vote.bbox_vote(cells, min_voters=MIN_VOTERS)
+    diagnostics = checkpoint(vote.bbox_vote(cells, min_voters=MIN_VOTERS))  # read twice
     agreed = diagnostics.where("committed").select(*PAGE, F.col("cluster_no").alias("cell_idx"), F.col("consensus_text").alias("text"), "confidence")
     records = filings.ledger_records(cells, agreed, diagnostics)
     return records.select("_meta.document_id", "_meta.page_no", F.size("_meta.voters").alias("n_voters"), F.coalesce(F.size("consensus"), F.lit(0)).alias("n_consensus"), F.coalesce(F.cardinality("diagnostics"), F.lit(0)).alias("n_diagnostics"))
@@ -826,6 +844,7 @@ QUERIES = {
     "resolve_cascade": resolve_cascade,
     "resolve_json": resolve_json,
     "embedding_resolve": embedding_resolve,
+    "resolve_vectors": resolve_vectors,
     "label_search": label_search,
     "standard_labels": standard_labels,
     "listed_concepts": listed_concepts,
@@ -888,6 +907,7 @@ SQL = {
     "line_words": _LINE_WORDS,
     "polygon_boxes": _POLYGON,
     "embedding_resolve": _EMBEDDING,
+    "resolve_vectors": _VECTORS,
     "label_search": _SEARCH,
     "standard_labels": _STANDARD,
     "listed_concepts": "SELECT concept_id, data_type FROM concepts WHERE status = 'standard'",

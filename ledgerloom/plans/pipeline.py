@@ -80,7 +80,7 @@ def convert(table_cells: DataFrame, labels: DataFrame, concepts: DataFrame, peri
         F.concat_ws(":", "doc_id", "table_idx", "row_idx", "col_no").alias("fact_id"),
         "doc_id",
         F.col("doc_id").alias("source"),
-        (F.col("table_idx") * 1_000_000_000 + F.col("row_idx") * 1000 + F.col("col_no")).cast("long").alias("ord"),
+        F.struct("table_idx", "row_idx", "col_no").alias("ord"),
         "concept_id",
         "value_text",
         F.col("p.page_no").alias("page_no"),

@@ -110,6 +110,21 @@ def test_resolution_stages(spark):
     assert got[4] == (None, "none", ["none"]) and got[5] == (None, "none", ["exact", "fuzzy", "none"]) and got[6] == (None, "none", ["none"])
 
 
+def test_cascade_with_vectors_and_candidates(spark):
+    labels = spark.createDataFrame([("x:A", "concept", "nb", "standardLabel", "Eiendeler"), ("x:AFunksjon", "concept", "nb", "standardLabel", "Eiendeler"), ("x:B", "concept", "nb", "standardLabel", "Gjeld")], "subject_id string, subject_kind string, lang string, role string, text string")
+    q = spark.createDataFrame([(1, "Eiendeler", "nb"), (2, "eiendeler sum", "nb"), (3, "skyldnad", None), (4, "ukjent", "nb"), (5, None, "nb"), (6, " ", None), (7, "Gjeld", None)], "id int, query string, lang_pref string")
+    vectors = spark.createDataFrame([("skyldnad", [0.0, 2.0]), ("ukjent", [0.0, 0.0])], "form string, vector array<double>"), spark.createDataFrame([("x:A", [1.0, 0.0]), ("x:B", [0.1, 1.0]), ("x:C", None)], "subject_id string, vector array<double>")
+    got = {r.id: (r.concept_id, r.method, "".join(c[0] for c in r.chain), [c.concept_id for c in r.candidates], r.match_role) for r in resolve.resolve(q, labels, vectors=vectors).collect()}
+    assert got[1] == ("x:A", "exact", "e", ["x:AFunksjon"], "standardLabel") and got[7] == ("x:B", "exact", "e", [], "standardLabel")
+    assert got[2][:3] == ("x:A", "fuzzy", "ef") and got[2][3][0] == "x:AFunksjon"
+    assert got[3] == ("x:B", "embedding", "efe", ["x:A"], None)
+    assert got[4] == (None, "none", "efen", [], None)
+    assert got[5] == got[6] == (None, "none", "n", [], None)
+    again = {r.id: (r.concept_id, r.method) for r in resolve.resolve(q, labels, use_fuzzy=False).collect()}
+    assert again[2] == (None, "none") and again[1] == ("x:A", "exact")
+    assert resolve.resolve(q.limit(0), labels, vectors=vectors).count() == 0
+
+
 def test_token_set_ratio():
     assert resolve.token_set_ratio("eiendeler totalt", "eiendeler") == 100.0
     assert resolve.token_set_ratio("a b", "c d") < 50 and resolve.token_set_ratio("", "x") == 0.0
