@@ -12,10 +12,12 @@ label is true, so it lowers agreement and reliability but leaves the choice amon
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
+from collections import Counter, defaultdict
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from ledgerloom.session import checkpoint, fan_out
 MOST_PARAMETERS = 2_000_000
 
 ITEM = "item string, kind string, labels array<string>, voters array<array<string>>, prior array<double>, failed array<string>, slips array<string>, given int"
+_COUNTS = pa.schema([(n, pa.string()) for n in ("what", "voter", "kind", "extra")] + [("x", pa.float64())])
 #: Least share of a slip, and the chance of further slips in one label.
 FLOOR, AGAIN = 1e-4, 0.3
 
@@ -65,18 +68,22 @@ def items_of(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped:
     Annotators listed in ``dropped`` on any row of an item are left out of that item, unless nobody
     would remain. Annotators listed in ``attempted`` on any row of an item that gave none of its
     readings and aren't dropped are ``failed``. A candidate with a null list of annotators stays, given
-    by nobody; rows with a null label take no part.
+    by nobody; a null label is no candidate, and an item with nothing else has none. An item whose rows
+    name several kinds has the one that sorts last; rows with a null item take no part.
     """
     names = lambda c: F.array_distinct(F.filter(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda v: F.lower(F.trim(v))), lambda v: v.isNotNull() & (v != "")))
     none = F.array().cast("array<string>")
-    rows = df.where(F.col(item).isNotNull() & F.col(label).isNotNull()).select(
+    rows = df.where(F.col(item).isNotNull()).select(
         F.col(item).alias("item"), F.coalesce(F.col(kind), F.lit("")).alias("kind"), F.col(label).cast("string").alias("label"), names(hit).alias("hit"), (names(dropped) if dropped else none).alias("out"), (names(attempted) if attempted else none).alias("tried")
     )
-    one = rows.groupBy("item", "kind", "label").agg(*[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("hit", "out", "tried")])
-    support = one.where(F.size("hit") >= 2).groupBy("kind", "label").agg(F.count("*").alias("support"))
+    one = rows.groupBy("item", "label").agg(F.max("kind").alias("kind"), *[F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in ("hit", "out", "tried")])
+    support = one.where((F.size("hit") >= 2) & F.col("label").isNotNull()).groupBy("kind", "label").agg(F.count("*").alias("support"))
     one = one.join(support, ["kind", "label"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
-    per = fan_out(one, "item", "kind").groupBy("item", "kind").agg(
-        F.array_sort(F.collect_list(F.struct("label", "hit", "support"))).alias("c"), F.array_distinct(F.flatten(F.collect_list("out"))).alias("out"), F.array_distinct(F.flatten(F.collect_list("tried"))).alias("tried")
+    per = fan_out(one, "item").groupBy("item").agg(
+        F.max("kind").alias("kind"),
+        F.array_sort(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "hit", "support")))).alias("c"),
+        F.array_distinct(F.flatten(F.collect_list("out"))).alias("out"),
+        F.array_distinct(F.flatten(F.collect_list("tried"))).alias("tried"),
     )
     kept = F.transform("c", lambda x: F.filter(x["hit"], lambda v: ~F.array_contains(F.col("out"), v)))
     someone = F.exists(kept, lambda v: F.size(v) > 0)
@@ -90,9 +97,10 @@ def _with_slips(items: DataFrame, key_type: str) -> DataFrame:
     schema = f"item {key_type}, kind string, labels array<string>, voters array<array<string>>, prior array<double>, failed array<string>, slips array<string>"
 
     def run(batches):
+        known = lru_cache(maxsize=100_000)(slip)
         for pdf in batches:
             pdf = pdf.copy()
-            pdf["slips"] = [[slip(t, r) for t in ls for r in ls] for ls in pdf["labels"]]
+            pdf["slips"] = [[known(t, r) for t in ls for r in ls] for ls in pdf["labels"]]
             pdf["voters"] = [[list(v) for v in vs] for vs in pdf["voters"]]
             yield pdf[["item", "kind", "labels", "voters", "prior", "failed", "slips"]]
 
@@ -148,36 +156,129 @@ class Model:
             got = self.memo[u, v] = min(0.98, self.shared.get((u, v), 0.0) / (self.seen.get((u, v), 0.0) + 20.0 + 0.03 * votes))
         return got
 
-    def posterior(self, kind: str, voters, prior, slips) -> list[float]:
-        n = len(voters)
-        top = sum(prior) + 0.5 * n if kind == "word" else 0.0
-        logs = []
-        for t in range(n):
-            x = math.log((prior[t] + 0.5) / top) if top else 0.0
-            for r in range(n):
-                group = list(voters[r])
-                if r == t:
-                    x += sum(math.log(self.competence(v)) for v in group)
-                    continue
-                s = slips[t * n + r]
-                group.sort(key=lambda v: -self.slipped(v, kind, s))
-                for k, v in enumerate(group):
-                    alone = self.slipped(v, kind, s)
-                    miss = 1.0
-                    for u in group[:k]:
-                        miss *= 1 - self.joined(u, v)
-                    x += math.log(alone if k == 0 else (1 - miss) + miss * alone)
-            logs.append(x)
-        m = max(logs)
-        e = [math.exp(x - m) for x in logs]
-        z = sum(e)
-        return [x / z for x in e]
-
-
-def _majority(voters, prior) -> list[float]:
-    n = [len(v) + 1e-3 * math.log1p(p) for v, p in zip(voters, prior)]
-    z = sum(n)
-    return [x / z for x in n] if z else [1 / len(n)] * len(n)
+    def slip_table(self, voters: list[str], kinds: list[str], slips: list[str]) -> np.ndarray:
+        """`slipped` of every voter (rows) for every pair of kind and slip (columns)."""
+        return np.array([[self.slipped(v, k, s) for k, s in zip(kinds, slips)] for v in voters]).reshape(len(voters), len(slips))
+
+    def joined_table(self, voters: list[str]) -> np.ndarray:
+        return np.array([[self.joined(u, v) for v in voters] for u in voters]).reshape(len(voters), len(voters))
+
+
+class Votes:
+    """A batch of items as arrays: candidates, the pairs of a true and a read candidate, and who read it.
+
+    All arithmetic of a round runs over these arrays at once. A pair is left out where nobody read its
+    second candidate.
+    """
+
+    def __init__(self, batch: pa.RecordBatch):
+        column = lambda n: batch.column(batch.schema.get_field_index(n))
+        labels, voters, slips, failed = (column(n) for n in ("labels", "voters", "slips", "failed"))
+        self.n = np.diff(labels.offsets.to_numpy())  # candidates of each item
+        self.first = np.cumsum(self.n) - self.n
+        self.item = np.repeat(np.arange(len(self.n)), self.n)
+        self.prior = column("prior").flatten().to_numpy(zero_copy_only=False)
+        kinds = column("kind").dictionary_encode()
+        self.kind_names, kind = kinds.dictionary.to_pylist(), kinds.indices.to_numpy()
+        groups = voters.flatten()
+        self.size = np.diff(groups.offsets.to_numpy())  # voters of each candidate
+        named = groups.flatten().dictionary_encode()
+        self.names, self.voter = named.dictionary.to_pylist(), named.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        self.candidate = np.repeat(np.arange(len(self.size)), self.size)
+        self.failed = Counter(failed.flatten().to_pylist())
+        self.word = np.array([k == "word" for k in self.kind_names], bool)[kind] if len(kind) else np.zeros(0, bool)
+        # pairs of candidates of one item, in the order of the slips
+        square = self.n.astype(np.int64) ** 2
+        of = np.repeat(np.arange(len(self.n)), square)
+        k = np.arange(int(square.sum())) - np.repeat(np.cumsum(square) - square, square)
+        t, r = self.first[of] + k // np.maximum(self.n[of], 1), self.first[of] + k % np.maximum(self.n[of], 1)
+        wrong = (t != r) & (self.size[r] > 0)
+        self.true, self.read = t[wrong], r[wrong]
+        coded = slips.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        both = kind[of[wrong]].astype(np.int64) * max(1, len(names)) + coded.indices.to_numpy(zero_copy_only=False)[wrong]
+        distinct, self.slip = np.unique(both, return_inverse=True)
+        self.slip_kinds = [self.kind_names[i // max(1, len(names))] for i in distinct]
+        self.slips = [names[i % max(1, len(names))] for i in distinct]
+        # the voters of each pair's second candidate, padded by -1
+        wide = int(self.size[self.read].max()) if len(self.read) else 0
+        start = (np.cumsum(self.size) - self.size)[self.read]
+        at = np.arange(wide)[None, :]
+        inside = at < self.size[self.read][:, None]
+        self.group = np.where(inside, self.voter[np.where(inside, start[:, None] + at, 0)] if len(self.voter) else -1, -1)
+
+    def sum_of(self, values: np.ndarray, where: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(where, values, n)
+
+    def shares(self, x: np.ndarray) -> np.ndarray:
+        """``x`` of candidates as shares of their items; alike where an item has none."""
+        total = self.sum_of(x, self.item, len(self.n))[self.item]
+        return np.where(total > 0, x / np.where(total > 0, total, 1.0), 1.0 / np.maximum(self.n[self.item], 1))
+
+    def majority(self) -> np.ndarray:
+        return self.shares(self.size + 1e-3 * np.log1p(self.prior))
+
+    def posterior(self, m: Model) -> np.ndarray:
+        """The chance of every candidate to be the true one."""
+        if not len(self.item):
+            return np.zeros(0)
+        top = self.sum_of(self.prior + 0.5, self.item, len(self.n))[self.item]
+        x = np.where(self.word[self.item], np.log((self.prior + 0.5) / top), 0.0)
+        right = np.log([m.competence(v) for v in self.names]) if self.names else np.zeros(0)
+        x += self.sum_of(right[self.voter], self.candidate, len(x))
+        if len(self.true):
+            table = m.slip_table(self.names, self.slip_kinds, self.slips)
+            alone = np.where(self.group >= 0, table[self.group, self.slip[:, None]], 0.0)
+            order = np.argsort(-alone, axis=1, kind="stable")  # who slips so most often may have led the others
+            group, alone = np.take_along_axis(self.group, order, 1), np.take_along_axis(alone, order, 1)
+            joined = m.joined_table(self.names)
+            gain = np.zeros(len(self.true))
+            for k in range(group.shape[1]):
+                miss = np.ones(len(gain))
+                for u in range(k):
+                    miss *= 1 - joined[group[:, u], group[:, k]]
+                chance = (1 - miss) + miss * alone[:, k]
+                gain += np.where(group[:, k] >= 0, np.log(np.where(group[:, k] >= 0, chance, 1.0)), 0.0)
+            x += self.sum_of(gain, self.true, len(x))
+        largest = np.full(len(self.n), -np.inf)
+        np.maximum.at(largest, self.item, x)
+        return self.shares(np.exp(x - largest[self.item]))
+
+    def counts(self, p: np.ndarray) -> dict[tuple, float]:
+        """Expected counts of the batch: right and wrong readings, slips, and slips that two voters share."""
+        total: dict[tuple, float] = defaultdict(float)
+        for v, x in self.failed.items():
+            total["failed", v, "", ""] += x
+        n = len(self.names)
+        for v, x in zip(self.names, self.sum_of(np.where(p < 1e-3, 0.0, p)[self.candidate], self.voter, n)):
+            total["right", v, "", ""] += float(x)
+        weight = p[self.true] if len(self.true) else np.zeros(0)
+        use = weight >= 1e-3
+        group, weight, slips = self.group[use], weight[use], self.slip[use]
+        if not len(weight):
+            return total
+        in_group = np.zeros((len(weight), n), np.float32)
+        rows = np.arange(len(weight))
+        for k in range(group.shape[1]):
+            has = group[:, k] >= 0
+            in_group[rows[has], group[has, k]] = 1.0
+        everyone = np.zeros((len(self.n), n), np.float32)
+        everyone[self.item[self.candidate], self.voter] = 1.0
+        given = in_group * weight[:, None].astype(np.float32)
+        seen, shared = given.T.astype(np.float64) @ everyone[self.item[self.true[use]]], given.T.astype(np.float64) @ in_group
+        for a, v in enumerate(self.names):
+            total["wrong", v, "", ""] += float(given[:, a].sum(dtype=np.float64))
+            by_slip = np.bincount(slips, given[:, a], len(self.slips))
+            for i in np.flatnonzero(by_slip):
+                parts = self.slips[i].split("|") if "|" in self.slips[i] and len(self.slips[i]) > 4 else [self.slips[i]]
+                for part in parts:
+                    total["guess", v, self.slip_kinds[i], part] += float(by_slip[i]) / len(parts)
+            for b, u in enumerate(self.names):
+                if a != b and seen[a, b]:
+                    total["seen", v, "", u] += float(seen[a, b])
+                    if shared[a, b]:
+                        total["shared", v, "", u] += float(shared[a, b])
+        return total
 
 
 def _statistics(items: DataFrame, model, first: bool) -> Model:
@@ -185,39 +286,15 @@ def _statistics(items: DataFrame, model, first: bool) -> Model:
     shared_model = items.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        m = shared_model.value
         total: dict[tuple, float] = defaultdict(float)
-        for pdf in batches:
-            for kind, voters, prior, failed, slips in zip(pdf["kind"], pdf["voters"], pdf["prior"], pdf["failed"], pdf["slips"]):
-                n = len(voters)
-                for v in failed:
-                    total["failed", v, "", ""] += 1.0
-                voters = [list(v) for v in voters]
-                p = _majority(voters, prior) if first else m.posterior(kind, voters, list(prior), list(slips))
-                everyone = [v for vs in voters for v in vs]
-                for t in range(n):
-                    if p[t] < 1e-3:
-                        continue
-                    for r in range(n):
-                        for v in voters[r]:
-                            if r == t:
-                                total["right", v, "", ""] += p[t]
-                            else:
-                                total["wrong", v, "", ""] += p[t]
-                                s = slips[t * n + r]
-                                parts = s.split("|") if "|" in s and len(s) > 4 else [s]
-                                for part in parts:
-                                    total["guess", v, kind, part] += p[t] / len(parts)
-                                for u in everyone:
-                                    if u != v:
-                                        total["seen", v, "", u] += p[t]
-                                for u in voters[r]:
-                                    if u != v:
-                                        total["shared", v, "", u] += p[t]
-        if total:
-            yield pd.DataFrame([(*k, x) for k, x in total.items()], columns=["what", "voter", "kind", "extra", "x"])
-
-    rows = items.mapInPandas(run, "what string, voter string, kind string, extra string, x double").groupBy("what", "voter", "kind", "extra").agg(F.sum("x").alias("x")).limit(MOST_PARAMETERS + 1).collect()
+        for b in batches:
+            votes = Votes(b)
+            for k, x in votes.counts(votes.majority() if first else votes.posterior(shared_model.value)).items():
+                total[k] += x
+        yield pa.RecordBatch.from_pydict({n: [k[i] for k in total] for i, n in enumerate(("what", "voter", "kind", "extra"))} | {"x": list(total.values())}, schema=_COUNTS)
+
+    schema = "what string, voter string, kind string, extra string, x double"
+    rows = items.mapInArrow(run, schema).groupBy("what", "voter", "kind", "extra").agg(F.sum("x").alias("x")).limit(MOST_PARAMETERS + 1).collect()
     if len(rows) > MOST_PARAMETERS:
         raise ValueError(f"more than {MOST_PARAMETERS} parameters: too many annotators for one model")
     right, wrong, failed, guess, slips, shared, seen = {}, {}, {}, defaultdict(dict), defaultdict(lambda: defaultdict(float)), {}, {}
@@ -248,7 +325,7 @@ def fit(df: DataFrame, item: str, kind: str, label: str, hit: str, dropped: str
 
 
 def consensus(items: DataFrame, model: Model) -> DataFrame:
-    """``item, kind, label, posterior, agreement, n_votes, n_attempts`` per item.
+    """``item, kind, label, posterior, agreement, n_votes, n_attempts``: one row per item, with a null label where it has no candidate.
 
     ``agreement`` is the share of the attempts, the counted votes and those that gave no reading, that
     the label has; null if nobody tried. The most
@@ -258,19 +335,33 @@ def consensus(items: DataFrame, model: Model) -> DataFrame:
     key_type = items.schema["item"].dataType.simpleString()
 
     def run(batches):
-        m = sent.value
-        for pdf in batches:
-            out = []
-            for i, kind, labels, voters, prior, failed, slips in zip(pdf["item"], pdf["kind"], pdf["labels"], pdf["voters"], pdf["prior"], pdf["failed"], pdf["slips"]):
-                voters = [list(v) for v in voters]
-                p = m.posterior(kind, voters, list(prior), list(slips))
-                t = min(range(len(p)), key=lambda k: (-round(p[k], 9), -len(voters[k]), labels[k]))
-                n = sum(map(len, voters))
-                tried = n + len(failed)
-                out.append((i, kind, labels[t], p[t], len(voters[t]) / tried if tried else None, n, tried))
-            yield pd.DataFrame(out, columns=["item", "kind", "label", "posterior", "agreement", "n_votes", "n_attempts"])
-
-    return items.mapInPandas(run, f"item {key_type}, kind string, label string, posterior double, agreement double, n_votes int, n_attempts int")
+        for b in batches:
+            votes = Votes(b)
+            p = votes.posterior(sent.value)
+            place = np.arange(len(p))
+            order = np.lexsort((place, -votes.size, -np.round(p, 9), votes.item))  # labels are in order within an item
+            best = order[np.searchsorted(votes.item[order], np.arange(len(votes.n)))] if len(order) else np.zeros(len(votes.n), np.int64)
+            none = votes.n == 0
+            best = np.where(none, 0, best)
+            n = np.bincount(votes.item[votes.candidate], minlength=len(votes.n))
+            failed = np.diff(b.column(b.schema.get_field_index("failed")).offsets.to_numpy())
+            tried = n + failed
+            hit = np.where(none, 0, votes.size[best] if len(votes.size) else 0)
+            labels = b.column(b.schema.get_field_index("labels")).flatten()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(b.schema.get_field_index("item")),
+                    b.column(b.schema.get_field_index("kind")),
+                    labels.take(pa.array(np.where(none, None, best).tolist(), pa.int64())),
+                    pa.array(np.where(none, np.nan, p[best] if len(p) else np.nan), mask=none),
+                    pa.array(hit / np.maximum(tried, 1), mask=(tried == 0) | none),
+                    pa.array(n.astype(np.int32)),
+                    pa.array(tried.astype(np.int32)),
+                ],
+                names=["item", "kind", "label", "posterior", "agreement", "n_votes", "n_attempts"],
+            )
+
+    return items.mapInArrow(run, f"item {key_type}, kind string, label string, posterior double, agreement double, n_votes int, n_attempts int")
 
 
 def reliability(df: DataFrame, model: Model) -> DataFrame:

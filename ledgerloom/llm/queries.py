@@ -46,9 +46,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_consensus(spark: SparkSession, d: str) -> DataFrame:
-    df, items, model = _readings(spark, d)
-    found = consensus.consensus(items, model)
-    return df.select("item_id").distinct().join(found.withColumnRenamed("item", "item_id"), "item_id", "left")
+    _, items, model = _readings(spark, d)
+    return consensus.consensus(items, model).withColumnRenamed("item", "item_id")
 
 
 def p2_voters(spark: SparkSession, d: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -55,7 +56,41 @@ def test_dropped_nulls_and_repeats(spark):
     ]
     items, model = consensus.fit(spark.createDataFrame(rows, SCHEMA), "item", "kind", "label", "hit", "dropped", rounds=2)
     got = {r.item: (r.label, r.agreement, r.n_votes) for r in consensus.consensus(items, model).collect()}
-    assert got == {1: ("5", 1.0, 1), 2: ("8", None, 0), 3: ("ord", 1.0, 1), 5: ("z", 1.0, 1)}
+    assert got == {1: ("5", 1.0, 1), 2: ("8", None, 0), 3: ("ord", 1.0, 1), 4: (None, None, 0), 5: ("z", 1.0, 1)}
+
+
+def test_one_row_an_item_of_several_kinds(spark):
+    rows = [(1, "numeric", "5", ["a"], None, "x"), (1, "word", "fem", ["b", "c"], None, "x"), (1, None, "5", ["d"], None, "x")]
+    items, model = consensus.fit(spark.createDataFrame(rows, SCHEMA), "item", "kind", "label", "hit", "dropped", rounds=1)
+    assert [(r.item, r.kind, r.n_votes) for r in consensus.consensus(items, model).collect()] == [(1, "word", 4)]
+
+
+def plain_posterior(m, kind, voters, prior, slips):
+    """The posterior of one item, written out."""
+    n, logs = len(voters), []
+    top = sum(prior) + 0.5 * n
+    for t in range(n):
+        x = math.log((prior[t] + 0.5) / top) if kind == "word" else 0.0
+        for r in range(n):
+            if r == t:
+                x += sum(math.log(m.competence(v)) for v in voters[r])
+                continue
+            s = slips[t * n + r]
+            group = sorted(voters[r], key=lambda v: -m.slipped(v, kind, s))
+            for k, v in enumerate(group):
+                miss = math.prod(1 - m.joined(u, v) for u in group[:k])
+                x += math.log((1 - miss) + miss * m.slipped(v, kind, s))
+        logs.append(x)
+    e = [math.exp(x - max(logs)) for x in logs]
+    return [x / sum(e) for x in e]
+
+
+def test_arrays_agree_with_the_formula(spark):
+    rows, _ = simulated(300, 9)
+    items, model = consensus.fit(spark.createDataFrame(rows, SCHEMA), "item", "kind", "label", "hit", "dropped", rounds=3)
+    want = {r.item: max(plain_posterior(model, r.kind, r.voters, r.prior, r.slips)) for r in items.collect()}
+    got = {r.item: r.posterior for r in consensus.consensus(items, model).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-6 for i in want)
 
 
 def test_empty(spark):
