@@ -74,16 +74,19 @@ class Encoder:
         out: list[int] = []
         known = self.known
         for piece in self.split(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = merge_piece(piece.encode("utf-8", "replace"), self.ranks)
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                if len(piece) < 200:
-                    known[piece] = ids
-            out += ids
+            out += known.get(piece) or self.encode_piece(piece)
         return out
 
+    def encode_piece(self, piece: str) -> list[int]:
+        ids = self.known.get(piece)
+        if ids is None:
+            ids = merge_piece(piece.encode("utf-8", "replace"), self.ranks)
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            if len(piece) < 200:
+                self.known[piece] = ids
+        return ids
+
 
 def decode(ids: list[int], ranks: dict[bytes, int]) -> str:
     """The text of ids: their vocabulary strings in a row."""
@@ -140,6 +143,42 @@ def count_tokens(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULAR
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens long")
 
 
+#: A line that quotes another text, as replies do.
+_QUOTED = regex.compile(r"^[ \t]*>.*$", regex.MULTILINE)
+
+
+def own_tokens(enc: Encoder, text: str | None) -> tuple[int, int]:
+    """The number of ids of a text, and of those in lines that quote nobody; a piece counts where it begins."""
+    n = len(enc.encode(text))
+    if not text or ">" not in text:
+        return n, n
+    quoted = [m.span() for m in _QUOTED.finditer(text)]
+    if not quoted:
+        return n, n
+    at, k, inside = 0, 0, 0
+    for piece in enc.split(text):
+        while k < len(quoted) and quoted[k][1] <= at:
+            k += 1
+        if k < len(quoted) and quoted[k][0] <= at:
+            inside += len(enc.encode_piece(piece))
+        at += len(piece)
+    return n, n - inside
+
+
+def count_loss(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``key, n_tokens, n_loss``: ids of every row's text, and those outside of quoted lines, which training bears loss on."""
+    data = _shared(df.sparkSession, vocabulary)
+
+    def run(batches):
+        enc = _encoder(data.value)
+        for b in batches:
+            both = [own_tokens(enc, t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([x[i] for x in both], type=pa.int64()) for i in range(2))], names=[key, "n_tokens", "n_loss"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_tokens long, n_loss long")
+
+
 def decode_column(df: DataFrame, ids: str, name: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """``df`` with the text of its ids as column ``name``; null ids give null, empty ones an empty text."""
     data = _shared(df.sparkSession, vocabulary)

@@ -61,20 +61,20 @@ def fill(tokens: np.ndarray, loss: np.ndarray, capacity: int, max_segments: int,
     return out
 
 
-def pack(df: DataFrame, key: str, tokens: str, capacity: int, max_segments: int = 256, loss: str | None = None, max_loss: int | None = None, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """``container, key, token_start, token_end`` (end exclusive): every item in containers.
+def pack(df: DataFrame, key: str, tokens: str, capacity: int, max_segments: int = 256, loss: str | None = None, max_loss: int | None = None, block_items: int = BLOCK_ITEMS, rows: int | None = None) -> DataFrame:
+    """``container, key, token_start, token_end`` (end exclusive), with ``loss`` if given: every item in containers.
 
-    An item is split only if it alone exceeds ``capacity``: into full containers and one rest, which
-    is packed like any other item. Items without tokens (also null counts) take one segment with an
-    empty range. ``loss`` counts loss-bearing tokens and is all tokens if left out; of a split item it
-    is spread evenly; an item or piece with more than ``max_loss`` of them is an error. Repeated keys are separate items. An empty table gives none. Container numbers
-    are unique over all blocks.
+    An item is split only if it alone exceeds ``capacity`` tokens or ``max_loss`` loss-bearing ones:
+    into pieces as long as both allow and one rest, which are packed like other items. Items without tokens (also null
+    counts) take one segment with an empty range. ``loss`` counts loss-bearing tokens and is all tokens
+    if left out; of a split item it is spread evenly. Repeated keys are separate items. An empty table
+    gives none. Container numbers are unique over all blocks. ``rows`` is about how many items there
+    are; if left out they are counted, which works ``df`` out once more.
     """
-    if capacity < 1 or max_segments < 1:
-        raise ValueError("capacity and max_segments must be positive")
     max_loss = capacity if max_loss is None else max_loss
-    n = df.count()
-    blocks = max(1, -(-n // block_items))
+    if capacity < 1 or max_segments < 1 or max_loss < 1:
+        raise ValueError("capacity, max_segments and max_loss must be positive")
+    blocks = max(1, -(-(df.count() if rows is None else rows) // block_items))
     items = df.select(
         F.col(key).alias("__key"),
         F.greatest(F.coalesce(F.col(tokens).cast("long"), F.lit(0)), F.lit(0)).alias("__n"),
@@ -82,43 +82,39 @@ def pack(df: DataFrame, key: str, tokens: str, capacity: int, max_segments: int
         F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)).alias("__block"),
     )
     kind = df.schema[key].dataType
-    schema = T.StructType([T.StructField("container", T.LongType()), T.StructField(key, kind), T.StructField("token_start", T.LongType()), T.StructField("token_end", T.LongType())])
+    schema = T.StructType([T.StructField("container", T.LongType()), T.StructField(key, kind), T.StructField("token_start", T.LongType()), T.StructField("token_end", T.LongType()), *([T.StructField("loss", T.LongType())] if loss else [])])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["__n", "__key"], ascending=[False, True], kind="stable").reset_index(drop=True)
         size = pdf["__n"].to_numpy(np.int64)
-        bearing = np.minimum(pdf["__loss"].fillna(0).to_numpy(np.int64), size)
-        full = size // capacity
-        rest = size - full * capacity
-        alone = (rest == 0) & (full > 0)
-        loss_rest = np.where(full > 0, np.minimum(rest, bearing * rest // np.maximum(size, 1)), bearing)
-        piece = np.where(full > 0, -(-bearing * capacity // np.maximum(size, 1)), 0)
-        if (over := np.maximum(loss_rest, piece) > max_loss).any():
-            raise ValueError(f"{int(over.sum())} items or full pieces have more than {max_loss} loss-bearing tokens and fit no container")
-        pick = np.flatnonzero(~alone)
-        at = fill(rest[pick], loss_rest[pick], capacity, max_segments, max_loss)
-        base = int(pdf["__block"].iloc[0]) << 40
-        rows_c, rows_i, rows_a, rows_b = [at], [pick], [full[pick] * capacity], [size[pick]]
-        nxt = int(at.max()) + 1 if len(at) else 0
-        if full.any():
-            which = np.repeat(np.arange(len(size)), full)
-            part = np.arange(len(which)) - np.repeat(np.cumsum(full) - full, full)
-            rows_c.append(nxt + np.arange(len(which)))
-            rows_i.append(which)
-            rows_a.append(part * capacity)
-            rows_b.append((part + 1) * capacity)
-        i = np.concatenate(rows_i)
-        return pd.DataFrame({"container": base + np.concatenate(rows_c), key: pdf["__key"].to_numpy()[i], "token_start": np.concatenate(rows_a), "token_end": np.concatenate(rows_b)})
+        bearing = np.clip(pdf["__loss"].fillna(0).to_numpy(np.int64), 0, size)
+        some = np.maximum(size, 1)
+        unit = np.where(bearing * capacity > max_loss * size, np.maximum(max_loss * size // np.maximum(bearing, 1), 1), capacity)
+        parts = np.maximum(-(-size // unit), 1)
+        i = np.repeat(np.arange(len(size)), parts)
+        a = (np.arange(len(i)) - np.repeat(np.cumsum(parts) - parts, parts)) * unit[i]
+        b = np.minimum(a + unit[i], size[i])
+        own = bearing[i] * b // some[i] - bearing[i] * a // some[i]
+        whole = b - a == capacity  # needs no search
+        pick = np.flatnonzero(~whole)
+        at = np.empty(len(i), np.int64)
+        at[pick] = fill((b - a)[pick], own[pick], capacity, max_segments, max_loss)
+        at[whole] = (int(at[pick].max()) + 1 if len(pick) else 0) + np.arange(int(whole.sum()))
+        out = {"container": (int(pdf["__block"].iloc[0]) << 40) + at, key: pdf["__key"].to_numpy()[i], "token_start": a, "token_end": b}
+        return pd.DataFrame(out | ({"loss": own} if loss else {}))
 
     return fan_out(items, "__block").groupBy("__block").applyInPandas(run, schema)
 
 
-def usage(packed: DataFrame, capacity: int) -> DataFrame:
-    """One row: containers, tokens held, share of room used and the most segments in one container."""
-    per = packed.groupBy("container").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("held"), F.count("*").alias("segments"))
+def usage(packed: DataFrame, capacity: int, max_loss: int | None = None) -> DataFrame:
+    """One row: containers, tokens held, share of room used and the most segments in one container; of containers with ``loss`` also that."""
+    with_loss = "loss" in packed.columns
+    per = packed.groupBy("container").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("held"), F.count("*").alias("segments"), *([F.sum("loss").alias("loss")] if with_loss else []))
+    share = lambda c, room: F.round(F.coalesce(F.sum(c), F.lit(0)) / F.greatest(F.count("*") * room, F.lit(1)), 6)
     return per.agg(
         F.count("*").alias("containers"),
         F.coalesce(F.sum("held"), F.lit(0)).alias("tokens"),
-        F.round(F.coalesce(F.sum("held"), F.lit(0)) / F.greatest(F.count("*") * capacity, F.lit(1)), 6).alias("fill_rate"),
+        share("held", capacity).alias("fill_rate"),
         F.coalesce(F.max("segments"), F.lit(0)).alias("most_segments"),
+        *([share("loss", max_loss or capacity).alias("loss_rate"), F.coalesce(F.max("loss"), F.lit(0)).alias("most_loss")] if with_loss else []),
     )

@@ -14,6 +14,8 @@ from ledgerloom.session import spread
 from ledgerloom.sources.tables import table
 
 CONTAINER_TOKENS = 2048
+#: Limits of containers for training: loss-bearing tokens, and segments.
+MOST_LOSS, MOST_SEGMENTS = 1920, 16
 MOST_LABELS = 200_000
 
 
@@ -126,13 +128,24 @@ def p8_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_containers(spark: SparkSession, d: str) -> DataFrame:
-    return packing.pack(bpe.count_tokens(_documents(spark, d), "doc_id", "text"), "doc_id", "n_tokens", CONTAINER_TOKENS)
+    docs = _documents(spark, d)  # counted before they are encoded, else they would be encoded twice
+    return packing.pack(bpe.count_tokens(docs, "doc_id", "text"), "doc_id", "n_tokens", CONTAINER_TOKENS, rows=docs.count())
 
 
 def p9_usage(spark: SparkSession, d: str) -> DataFrame:
     return packing.usage(p9_containers(spark, d), CONTAINER_TOKENS)
 
 
+def p9_training(spark: SparkSession, d: str) -> DataFrame:
+    """Containers for training on what writers say themselves: at most `MOST_LOSS` tokens outside of quoted lines and `MOST_SEGMENTS` segments."""
+    docs = _documents(spark, d)
+    return packing.pack(bpe.count_loss(docs, "doc_id", "text"), "doc_id", "n_tokens", CONTAINER_TOKENS, MOST_SEGMENTS, "n_loss", MOST_LOSS, rows=docs.count())
+
+
+def p9_training_usage(spark: SparkSession, d: str) -> DataFrame:
+    return packing.usage(p9_training(spark, d), CONTAINER_TOKENS, MOST_LOSS)
+
+
 def _classifier(spark: SparkSession, d: str) -> abuse.Net:
     """The classifier for these documents, trained once a session.
 
@@ -183,6 +196,8 @@ QUERIES = {
     "p8_counts": p8_counts,
     "p9_containers": p9_containers,
     "p9_usage": p9_usage,
+    "p9_training": p9_training,
+    "p9_training_usage": p9_training_usage,
     "p10_found": p10_found,
     "p10_scores": p10_scores,
     "p10_rates": p10_rates,

@@ -56,3 +56,12 @@ def test_table(spark):
     assert sorted((r.k, r.n_tokens) for r in bpe.count_tokens(df, "k", "t").collect())[-2:] == [(2, 0), (3, 0)]
     assert bpe.encode(df.limit(0), "k", "t").count() == 0
     assert {r.k: r.text for r in bpe.decode_column(bpe.encode(df, "k", "t"), "ids").collect()} == {1: "Hei", 2: "", 3: ""}
+
+
+def test_tokens_outside_of_quoted_lines(spark):
+    texts = ["Hei\n> alt dette er sitert\nja", "> bare sitat", "a > b", None, "", "ingen", "  > sitat\n\n>> mer\nslutt"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    got = {r.id: (r.n_tokens, r.n_loss) for r in bpe.count_loss(df, "id", "t").collect()}
+    n = {r.id: r.n_tokens for r in bpe.count_tokens(df, "id", "t").collect()}
+    assert {k: v[0] for k, v in got.items()} == n
+    assert got[1][1] == 0 and got[3] == got[4] == (0, 0) and all(got[k][0] == got[k][1] for k in (2, 5)) and 0 < got[0][1] < got[0][0] and 0 < got[6][1] < got[6][0]
