@@ -1,15 +1,19 @@
 """Free-entered values to the entries of a reference list (problem 7).
 
 An automaton over the folded names and aliases finds embedded mentions; the longest ones that do not
-overlap win, and a value is settled where one mention covers all that counts in it. The remaining
-values go to token-set similarity against every entry, with an exact upper bound to skip entries.
-Each distinct value is worked on once.
+overlap win, and a value is settled where one mention covers all that counts in it. Words cut by a
+point are looked up by their beginning. The remaining values go to token-set similarity with the
+entries that share enough pairs of letters or all their words; an inverted index over these finds
+every entry that can reach the threshold, so no value is held against the whole list. Each distinct
+value is worked on once.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -87,6 +91,43 @@ def ratio(a: str, b: str) -> float:
     return 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 1.0
 
 
+class PairIndex:
+    """Which of some strings share how many pairs of neighbouring letters with another."""
+
+    def __init__(self, strings: list[str]):
+        postings: dict[str, list[int]] = {}
+        for n, s in enumerate(strings):
+            for g in self.pairs(s):
+                postings.setdefault(g, []).append(n)
+        self.postings = {g: np.array(v, dtype=np.int32) for g, v in postings.items()}
+        self.lengths = np.array([len(s) for s in strings], dtype=np.int32)
+
+    @staticmethod
+    def pairs(s: str) -> list[str]:
+        """The pairs of ``s``, repeated ones told apart by their number."""
+        seen: dict[str, int] = {}
+        out = []
+        for i in range(len(s) - 1):
+            g = s[i : i + 2]
+            seen[g] = k = seen.get(g, 0) + 1
+            out.append(g if k == 1 else f"{g}{k}")
+        return out
+
+    def shared(self, strings: list[str]) -> np.ndarray:
+        """For every string of the index the number of pairs in common with ``strings`` together."""
+        found = [p for s in strings for g in self.pairs(s) if (p := self.postings.get(g)) is not None]
+        return np.bincount(np.concatenate(found), minlength=len(self.lengths)) if found else np.zeros(len(self.lengths), dtype=np.int64)
+
+    def near(self, s: str, least: float) -> np.ndarray:
+        """All strings whose `ratio` to ``s`` can be ``least`` or more.
+
+        A common subsequence of l letters of strings of a and b letters is broken at most a + b - 2l
+        times, so it has at least 3l - (a + b) - 1 pairs that stand together in both.
+        """
+        both = self.lengths + len(s)
+        return np.flatnonzero(self.shared([s]) >= np.maximum((1.5 * least - 1) * both - 1 - 1e-9, 0))
+
+
 class Reference:
     """The reference list in folded form, with the automaton over it.
 
@@ -115,16 +156,11 @@ class Reference:
         if self.keys:
             self.automaton.make_automaton()
         self.sorted_keys = ["".join(sorted(w)) for w in self.words]
-        self.counts = np.array([self._count(s) for s in self.keys], dtype=np.int32).reshape(len(self.keys), 36)
-        self.lengths = np.array([len(s) for s in self.keys], dtype=np.int32)
-        self.vocabulary = {w for ws in self.words for w in ws}
-
-    @staticmethod
-    def _count(s: str) -> list[int]:
-        out = [0] * 36
-        for c in s:
-            out[ord(c) - 97 if c >= "a" else 26 + ord(c) - 48] += 1
-        return out
+        self.by_pairs, self.by_sorted_pairs = PairIndex(self.keys), PairIndex(self.sorted_keys)
+        self.by_word: dict[str, list[int]] = {}
+        for n, ws in enumerate(self.words):
+            for w in set(ws):
+                self.by_word.setdefault(w, []).append(n)
 
     def mention(self, t: str) -> str | None:
         """The entry that covers all that counts in a value; longest mentions first, not overlapping."""
@@ -171,39 +207,60 @@ class Reference:
             if not pieces[-1]:
                 pieces = pieces[:-1] + [""]
             pattern = "[a-z]*".join(pieces)
-            found = {self.ids[n] for n, s in enumerate(self.keys) if re.fullmatch(pattern, s)}
+            found = {self.ids[n] for n in self._beginning(pieces[0]) if re.fullmatch(pattern, self.keys[n])}
             if len(found) == 1:
                 return found.pop()
             if not found and sum(map(len, pieces)) >= 10:
                 near: dict[str, int] = {}
-                fuzzy = regex.compile(f"(?:{pattern}){{e<={1 if sum(map(len, pieces)) < 16 else 3}}}", regex.BESTMATCH)
-                for n, s in enumerate(self.keys):
-                    if m := fuzzy.fullmatch(s):
+                errors = 1 if sum(map(len, pieces)) < 16 else 3
+                fuzzy = regex.compile(f"(?:{pattern}){{e<={errors}}}", regex.BESTMATCH)
+                # an error destroys two pairs of letters at most; pairs repeated in several pieces count once here
+                wanted = len({g for p in pieces for g in PairIndex.pairs(p) if len(g) == 2}) - 2 * errors
+                once = [g for g in dict.fromkeys(g for p in pieces for g in PairIndex.pairs(p) if len(g) == 2)]
+                for n in np.flatnonzero(self.by_pairs.shared(once) >= wanted):
+                    if m := fuzzy.fullmatch(self.keys[n]):
                         near[self.ids[n]] = min(sum(m.fuzzy_counts), near.get(self.ids[n], 99))
                 least = [i for i, e in near.items() if e == min(near.values())]
                 if len(least) == 1:
                     return least[0]
         return None
 
+    def _beginning(self, start: str) -> range:
+        """The places of the entries that begin with ``start``; entries are in order."""
+        lo = bisect_left(self.keys, start)
+        return range(lo, bisect_right(self.keys, start + "\x7f", lo))
+
+    def _of_all_words(self, words: list[str]) -> list[int]:
+        """Entries of two or more longer words all of whose words the value has."""
+        have = Counter(n for w in set(words) for n in self.by_word.get(w, ()))
+        return [n for n, k in have.items() if k == len(set(self.words[n])) and sum(len(w) > 3 for w in set(self.words[n])) >= 2]
+
     def similar(self, t: str) -> tuple[str, float] | None:
-        """The nearest entry by token-set similarity, if it is near enough."""
+        """The nearest entry by token-set similarity, if it is near enough.
+
+        The similarity is the greatest of: the words of both in order, with and without blanks; and the
+        common words against those of the entry, which is 1 where the value has all of them and others
+        besides. Values whose further words make another heading are left to `_every_word` of longer
+        entries: of equal similarity the entry with more letters is meant.
+        """
         s = squash(t)
         if len(s) < 4 or not self.keys:
             return None
         forms = {s}
         if r := rotated(t):
             forms.add(squash(r))
-        best: tuple[float, str, int] | None = None
-        bound = np.minimum(self.counts, np.array(self._count(s), dtype=np.int32)).sum(axis=1) * 2 / (self.lengths + len(s))
         words = re.findall(r"[a-z0-9]+", t)
         by_word = "".join(sorted(words))
-        for n in np.flatnonzero(bound >= LEAST):
+        covered = set(self._of_all_words(words))
+        near = {int(n) for f in forms for n in self.by_pairs.near(f, LEAST)} | {int(n) for n in self.by_sorted_pairs.near(by_word, LEAST)} | covered
+        best: tuple[tuple, int] | None = None
+        for n in near:
             key = self.keys[n]
-            score = max(*(ratio(f, key) for f in forms), ratio(by_word, self.sorted_keys[n]), 0.0)
-            if score >= LEAST and (best is None or score > best[0] or (score == best[0] and key < best[1])):
-                if self._every_word(words, s, n):
-                    best = (score, key, int(n))
-        return (self.ids[best[2]], best[0]) if best else None
+            score = 1.0 if n in covered else max(*(ratio(f, key) for f in forms), ratio(by_word, self.sorted_keys[n]), 0.0)
+            rank = (-score, -len(key) if n in covered else 0, key)
+            if score >= LEAST and (best is None or rank < best[0]) and self._every_word(words, s, n):
+                best = (rank, n)
+        return (self.ids[best[1]], -best[0][0]) if best else None
 
     def _every_word(self, words: list[str], s: str, n: int) -> bool:
         """Whether each word of entry n has its counterpart in the value, however it is split there."""
@@ -241,7 +298,7 @@ def _window(w: str, s: str) -> float:
     return best
 
 
-def map_values(df: DataFrame, value: str, reference: DataFrame, ref_id: str, ref_text: str, prefer=lambda i: i, most_entries: int = 20_000) -> DataFrame:
+def map_values(df: DataFrame, value: str, reference: DataFrame, ref_id: str, ref_text: str, prefer=lambda i: i, most_entries: int = 200_000) -> DataFrame:
     """``df`` with ``match_id`` (null if there is none), ``method`` and ``similarity``.
 
     Null and blank values and values without a letter have no match. Distinct values are resolved

@@ -1,3 +1,6 @@
+import random
+
+import numpy as np
 import pytest
 
 from ledgerloom.llm import match
@@ -22,8 +25,6 @@ def test_cases(ref, q, i):
 
 
 def test_lcs_against_brute_force():
-    import random
-
     rng = random.Random(3)
 
     def plain(a, b):
@@ -40,15 +41,34 @@ def test_lcs_against_brute_force():
         assert match.lcs(a, b) == plain(a, b)
 
 
-def test_bound_skips_no_entry(ref):
-    """Entries skipped by the letter bound are below the threshold."""
-    for q, _ in CASES:
-        s = match.squash(match.core(q or ""))
-        for n, key in enumerate(ref.keys):
-            import numpy as np
-
-            bound = np.minimum(ref.counts[n], ref._count(s)).sum() * 2 / (ref.lengths[n] + len(s)) if s else 0
-            assert match.ratio(s, key) <= bound + 1e-9 if s else True
+def test_index_skips_no_entry():
+    """Every string that reaches the threshold is among those the index names."""
+    rng = random.Random(8)
+    words = ["avskrivning", "drivhus", "kortsiktig", "lan", "ansatte", "tomt", "aaaa", "abab", "x1", "gevinst"]
+    strings = ["".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(200)]
+    index = match.PairIndex(strings)
+    for _ in range(150):
+        s = list(rng.choice(strings))
+        for _ in range(rng.randint(0, 6)):
+            i = rng.randrange(len(s) + 1)
+            s[i : i + rng.randint(0, 1)] = rng.choice(("", "e", "aa"))
+        q = "".join(s)
+        near = set(index.near(q, match.LEAST).tolist())
+        assert {n for n, x in enumerate(strings) if match.ratio(q, x) >= match.LEAST} <= near
+
+
+def test_abbreviations_are_found_by_index(ref, monkeypatch):
+    """The same as when every entry is tried."""
+    values = ["avskr. drivhus", "korts. lan til ans.", "festeavg. tomt", "avskrjv. drivh.", "utest. b-aksj.", "langs. lan til ansatte.", "avskr. helik."]
+    got = [ref.abbreviated(v) for v in values]
+    monkeypatch.setattr(match.Reference, "_beginning", lambda self, start: range(len(self.keys)))
+    monkeypatch.setattr(match.PairIndex, "shared", lambda self, strings: np.full(len(self.lengths), 99))
+    assert got == [ref.abbreviated(v) for v in values] and got[0] == "x:A"
+
+
+def test_further_words_around_all_of_an_entry(ref):
+    assert ref.resolve("til ansatte: kortsiktig lån, rentefritt")[0] == "x:B"
+    assert ref.resolve("tomt")[0] is None and ref.resolve("lån til noen")[0] is None
 
 
 def test_golden(spark, data):
