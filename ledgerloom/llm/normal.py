@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 #: Letters of other scripts that look like Latin ones, in the order of the Latin letters.
 CYRILLIC = dict(zip("АВЕЅІЈКМНОРСТХУаеорсухѕіј", "ABESIJKMHOPCTXYaeopcyxsij"))
-GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνο", "ABEZHIKMNOPTYXvo"))
-LOOKALIKE = CYRILLIC | GREEK
+CYRILLIC |= dict(zip("ԁһӏԛԝѵ", "dhlqwv"))
+GREEK = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧνοαιρ", "ABEZHIKMNOPTYXvoaip"))
+LATIN = dict(zip("ɑɡı", "agi"))
+LOOKALIKE = CYRILLIC | GREEK | LATIN
 
 #: Hyphens and minus signs that look like the plain one, and quotes.
 DASHES = "‐‑‒–—―−﹘﹣－"
@@ -52,15 +54,33 @@ def plain_of(ch: str) -> str:
     return ch
 
 
+@lru_cache(maxsize=1)
+def joining() -> frozenset[str]:
+    """The characters whose quick-check property for composed text is *maybe*: they may compose with what stands before them."""
+    out = {chr(c) for c in (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))}  # vowels and finals of Hangul syllables
+    for c in range(0xA0, 0x30000):
+        parts = unicodedata.decomposition(chr(c)).split(" ")
+        if len(parts) == 2 and parts[0][:1] != "<" and unicodedata.is_normalized("NFC", chr(c)):
+            out.add(chr(int(parts[1], 16)))
+    return frozenset(out)
+
+
+def quick_check(ch: str) -> str:
+    """The quick-check property of a character for composed text: yes, no or maybe."""
+    if not unicodedata.is_normalized("NFC", ch) and ch not in joining():
+        return "no"
+    return "maybe" if ch in joining() else "yes"
+
+
 @lru_cache(maxsize=65536)
 def is_stable(ch: str) -> bool:
-    """Quick check: ``ch`` composes with nothing before it, is composed itself, plain and of no look-alike script."""
-    return (
-        ch not in LOOKALIKE
-        and unicodedata.combining(ch) == 0
-        and unicodedata.is_normalized("NFC", ch)
-        and plain_of(ch) == ch
-    )
+    """``ch`` composes with nothing before it, is composed itself, plain and of no look-alike script."""
+    return ch not in LOOKALIKE and unicodedata.combining(ch) == 0 and quick_check(ch) == "yes" and plain_of(ch) == ch
+
+
+def _goes_on(ch: str) -> bool:
+    """Whether ``ch`` may compose with what stands before it."""
+    return unicodedata.combining(ch) > 0 or ch in joining()
 
 
 _NON_ASCII = re.compile(r"[^\x00-\x7f]+")
@@ -87,6 +107,25 @@ def _strict_foreign(s: str) -> bool:
     return any(c not in LOOKALIKE and _script(c) in ("cyrillic", "greek", "other") for c in s)
 
 
+def _word_before(text: str, i: int) -> str:
+    """What stands before place ``i``, back to the beginning of a word."""
+    k = i
+    while k > 0 and text[k - 1].isspace():
+        k -= 1
+    while k > 0 and not text[k - 1].isspace():
+        k -= 1
+    return text[k:i]
+
+
+def _word_after(text: str, j: int) -> str:
+    k = j
+    while k < len(text) and text[k].isspace():
+        k += 1
+    while k < len(text) and not text[k].isspace():
+        k += 1
+    return text[j:k]
+
+
 def _word_form(word: str, compound: str, before: str, after: str, known) -> str:
     """A word with its look-alike letters made Latin, if it is a Latin word.
 
@@ -95,6 +134,8 @@ def _word_form(word: str, compound: str, before: str, after: str, known) -> str:
     """
     if not any(c in LOOKALIKE for c in word) or _strict_foreign(word):
         return word  # letters that no Latin word has: truly of the other script
+    if word in GREEK and word.islower() and compound != word:
+        return word  # a lone letter is a symbol
     latin = unicodedata.normalize("NFC", "".join(LOOKALIKE.get(c, c) for c in word))
     if any(c.isdigit() or _script(c) == "latin" for c in word):
         return latin
@@ -136,14 +177,14 @@ def consistent(text: str | None, known=frozenset()) -> str | None:
     segments: list[list[int]] = []
     for i in spots:
         start = i
-        while start > 0 and unicodedata.combining(text[start]):
+        while start > 0 and _goes_on(text[start]):
             start -= 1
         if plain_of(text[i]) == "" and start > 0:
             start -= 1  # what an invisible character parts may compose
-            while start > 0 and (unicodedata.combining(text[start]) or plain_of(text[start]) == ""):
+            while start > 0 and (_goes_on(text[start]) or plain_of(text[start]) == ""):
                 start -= 1
         end = i + 1
-        while end < len(text) and (unicodedata.combining(text[end]) or plain_of(text[end]) == ""):
+        while end < len(text) and (_goes_on(text[end]) or plain_of(text[end]) == ""):
             end += 1
         if segments and start <= segments[-1][1]:
             segments[-1][1] = max(segments[-1][1], end)
@@ -165,7 +206,7 @@ def consistent(text: str | None, known=frozenset()) -> str | None:
                 w, i, j = m[0], c.start() + m.start(), c.start() + m.end()
                 if w.isascii():
                     continue
-                new = _word_form(w, c[0], out[max(0, i - 24) : i], out[j : j + 24], known)
+                new = _word_form(w, c[0], _word_before(out, i), _word_after(out, j), known)
                 if new != w:
                     pieces += [out[at:i], new]
                     at = j
@@ -185,7 +226,7 @@ def with_consistent(df: DataFrame, text: str, known: frozenset[str] = frozenset(
     """``df`` with the consistent form of column ``text`` as column ``name``.
 
     Nulls give nulls and empty texts empty texts; equal rows are treated alike; very long texts take
-    time in proportion. ASCII texts are recognised in the JVM and never sent to Python.
+    time in proportion. ASCII texts are recognised in the JVM; in their place nulls are sent to Python.
     """
 
     @F.pandas_udf("string")
@@ -201,10 +242,8 @@ def with_consistent(df: DataFrame, text: str, known: frozenset[str] = frozenset(
                 out.append(consistent(t, known))
         return pd.Series(out, dtype=object)
 
-    plain = F.col(text).rlike(r"^[\x00-\x7f]*$")
-    odd = df.where(~F.coalesce(plain, F.lit(True)))
-    rest = df.where(F.coalesce(plain, F.lit(True)))
-    return odd.withColumn(name, run(F.col(text))).unionByName(rest.withColumn(name, F.col(text)))
+    odd = ~F.col(text).rlike(r"^[\x00-\x7f]*$")
+    return df.withColumn(name, F.when(odd, run(F.when(odd, F.col(text)))).otherwise(F.col(text)))
 
 
 def changed_rows(df: DataFrame, text: str, known: frozenset[str] = frozenset()) -> DataFrame:
