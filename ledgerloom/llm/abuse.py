@@ -47,6 +47,10 @@ SMALL = {
     "other": set("jag och att är inte jeg ikke af til dig mig hvad und der die das ist ich du nicht ein eine le la les des et est pas une que qui vous je el los las y es un una por no te se de".split()),
 }
 _ONLY_NN = set("eg ikkje ein eit dei nokon dykk ho frå vart kvar berre si heile saman".split())
+_SPOKEN: dict[str, list[str]] = {}
+for _lang, _words in (*SMALL.items(), ("nn", _ONLY_NN)):
+    for _w in _words:
+        _SPOKEN.setdefault(_w, []).append(_lang)
 #: Classes of language with a threshold of their own; ``und`` are windows without small words.
 LANGUAGES = (*SMALL, "und")
 
@@ -60,6 +64,8 @@ _APART = re.compile(r"(?<![^\W_])([^\W\d_])([.\-_ ·])(?=[^\W_*])(?:[^\W_*]\2){1
 _TOKEN = re.compile(r"[^\W_*]+(?:\*+[^\W_]*)*|\*+[^\W_]+")
 _MIXED = re.compile(r"(?<![^\s.,;:?()\"<>/\\])[^\s.,;:?()\"<>/\\]*[0-9@$!€|#+*][^\s.,;:?()\"<>/\\]*")
 _APART_HINT = re.compile(r"(?<![^\W_])[^\W\d_][.\-_ ·][^\W_*][.\-_ ·][^\W_*]")
+_MIXED_HINT = re.compile(r"[^\W\d_][0-9@$!€|#+*]|[0-9@$!€|#+*][^\W\d_]|[@$!€|#+*]{2}")
+_LOOKALIKE = re.compile(f"[{''.join(map(re.escape, LOOKALIKE))}]")
 _REPEATED = re.compile(r"([^\W\d_])\1{2,}")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n\t]+|<[^>]{1,60}>")
 
@@ -77,19 +83,26 @@ def _unleet(m: re.Match) -> str:
 
 def clear(sentence: str) -> list[str]:
     """The words of a sentence without disguises, in lower case; numbers are one word."""
-    s = sentence if sentence.isascii() else (consistent(sentence) or "").translate(_LATIN)
+    s = sentence
+    if not s.isascii():
+        s = consistent(s) or ""
+        if _LOOKALIKE.search(s):
+            s = s.translate(_LATIN)
     s = s.lower()
     if _APART_HINT.search(s):
         s = _APART.sub(lambda m: m[0].replace(m[2], ""), s)
-    s = _MIXED.sub(_unleet, s)
+    if _MIXED_HINT.search(s):
+        s = _MIXED.sub(_unleet, s)
     s = _REPEATED.sub(r"\1", s)
     return ["0" if t.isdigit() else t for t in _TOKEN.findall(s)]
 
 
 def language(words: list[str]) -> str:
     """The class of language by small words, ``und`` where there are none; at a tie the first in the order of `SMALL`."""
-    n = {lang: sum(w in small for w in words) for lang, small in SMALL.items()}
-    n["nn"] += sum(w in _ONLY_NN for w in words)
+    n = dict.fromkeys(SMALL, 0)
+    for w in words:
+        for lang in _SPOKEN.get(w, ()):
+            n[lang] += 1
     best = max(SMALL, key=lambda x: n[x])
     return best if n[best] else "und"
 
@@ -388,8 +401,7 @@ def fit(df: DataFrame, text: str, sample: int = SAMPLE, documents: int = SAMPLE_
     """The classifier trained on ``written`` examples and a bounded sample of the corpus.
 
     The bounds of the sample are parameters: ``sample`` windows of about ``documents`` texts. It is
-    taken as harmless at first; what the first round of training then finds abusive in it is left out
-    of the second. ``harmless`` are texts known to be so, such as a reference list; random words of a
+    taken as harmless, but for what a model trained on the other half of it finds abusive. ``harmless`` are texts known to be so, such as a reference list; random words of a
     public ``vocabulary`` make `SALADS` more. A tenth of the examples is kept from training to
     calibrate the thresholds.
     """
@@ -410,15 +422,19 @@ def fit(df: DataFrame, text: str, sample: int = SAMPLE, documents: int = SAMPLE_
         if w:
             made.append((w[:WINDOW], y))
     held, made = made[: len(made) // 10], made[len(made) // 10 :]
-    net = Net()
-    for n, epochs in enumerate((1, 4)):
-        if n:
-            # headings and labels are short and repeated: each counts as often as a few sentences
-            calm = [s for s, p in zip(calm, net.score(calm)) if p < 0.5] if calm else []
-            net = Net()
-        short = [s for s in calm if len(s) <= 4] + labels
-        some = [w for w, _ in made] + calm + (salads if n else []) + short * 3
+
+    def trained(quiet: list[list[str]], more: list[list[str]], epochs: int) -> Net:
+        # headings and labels are short and repeated: each counts as often as a few sentences
+        short = [s for s in quiet if len(s) <= 4] + labels
+        some = [w for w, _ in made] + quiet + more + short * 3
+        net = Net()
         net.train(some, np.array([y for _, y in made] + [0] * (len(some) - len(made)), np.float32), epochs=epochs)
+        return net
+
+    # each half of the sample is judged by a model that hasn't seen it, else abusive sentences in it would be learned as harmless
+    halves = calm[::2], calm[1::2]
+    kept = [s for own, other in (halves, halves[::-1]) if own for s, p in zip(own, trained(other, [], 1).score(own)) if p < 0.5]
+    net = trained(kept, salads, 4)
     rated = [(float(p), language(w), y) for p, (w, y) in zip(net.score([w for w, _ in held]), held)]
     net.held = tuple([(p, lang) for p, lang, z in rated if z == y] for y in (1, 0))
     return net
@@ -426,7 +442,7 @@ def fit(df: DataFrame, text: str, sample: int = SAMPLE, documents: int = SAMPLE_
 
 #: Steps of the scores in histograms, and the thresholds to choose from.
 BINS = 200
-GRID = np.arange(0.3, 0.701, 0.01)
+GRID = np.arange(0.4, 0.701, 0.01)
 
 
 def calibrate(held: tuple[list[tuple[float, str]], list[tuple[float, str]]], histogram: dict[tuple[str, int], int]) -> dict[str, float]:
@@ -465,17 +481,22 @@ def score_documents(df: DataFrame, key: str, text: str, net: Net) -> DataFrame:
     def run(batches):
         scorer = Scorer(sent.value)
         known: dict[str, dict[str, float]] = {}  # of a sentence, by class of language
+        rated: dict[str, tuple[str, float]] = {}  # of a window; numbers are alike in it
         for pdf in batches:
             texts = pdf[text].tolist()
             for lo in range(0, len(texts), 500):
                 chunk = [split_sentences(t) if isinstance(t, str) else [] for t in texts[lo : lo + 500]]
                 if len(known) > KNOWN_SENTENCES:
                     known.clear()
+                if len(rated) > KNOWN_SENTENCES:
+                    rated.clear()
                 new = [s for s in dict.fromkeys(chain.from_iterable(chunk)) if s not in known]
-                flat = [(s, w) for s in new for w in sentence_windows(s)]
+                flat = [(s, " ".join(w), w) for s in new for w in sentence_windows(s)]
+                fresh = {k: w for _, k, w in flat if k not in rated}
+                rated.update((k, (language(w), p)) for (k, w), p in zip(fresh.items(), scorer.score(list(fresh.values())).tolist()))
                 known.update((s, {}) for s in new)
-                for (s, w), p in zip(flat, scorer.score([w for _, w in flat]).tolist()):
-                    lang = language(w)
+                for s, k, _ in flat:
+                    lang, p = rated[k]
                     known[s][lang] = max(known[s].get(lang, 0.0), p)
                 out = []
                 for sentences in chunk:

@@ -18,7 +18,7 @@ import random
 #: Fillers by language.
 WORDS = {
     "nb": {
-        "n": "huset|bilen|veien|boka|bordet|vannet|skogen|fjellet|byen|båten|kirken|døra|vinduet|kjøkkenet|stolen|brevet|kaffen|brødet|fisken|kjøttet|kua|katten|hesten|fuglen|treet|blomsten|været|vinteren|sommeren|uka|året|timen|jobben|lønna|penger|renta|skatten|loven|retten|saken|krigen|freden|skipet|toget|flyet|bussen|telefonen|maskinen|motoren|strømmen|oljen|gassen|stålet|betongen|taket|veggen|gulvet|tomta|gården|åkeren|avlingen|høstprøven|eksamen|læreboka|legetimen|medisinen|foten|hånda|ryggen|hjertet|blodet|kulda|varmen|lyset|lyden|musikken|bildet|filmen|spillet|ballen|kampen|laget|målet|prisen|varen|kunden|ordren|avtalen|risiko|vekst|marked|kapital|gevinst|tap|budsjett|plan|rapport|søknad|regel|tall|feil|svar|spørsmål|hjelp|beskjed|permisjon|pensjon|ferie|forslag|vedtak|klage|tilskudd|garanti|kontrakt|leie|sameie|vedlikehold|verdi|lager|frakt|strømregning|forsikring|barnehage|sykehjem|vindmølle|kraftverk|statue|skulptur|museum|kjeller|loft|firma|klasse|kasse|passasjer|massasje|analyse|kanal|drivhusgass|gassverk|utslipp|svinekjøtt|grisehus|horisont|hormon|rasteplass|torsk|idiotsikker bryter|dumpinglønn|jødedom|homogen masse|fittings|pulverlakk|puls|pulje|sugerør|støvsuger|slikkepott|ridesenter|penisillin|pikkoloen|rævdilter|hestehov|kukost|hønsefôr|orgelmusikk|nakenbadeplass|sexolog|drapssak|kjønnsfordeling|voldgiftsdom|dødsbo|skytebane|brannslukker|knusk|slagord|svartmaling|kjerringrokk|skittentøy",
+        "n": "huset|bilen|veien|boka|bordet|vannet|skogen|fjellet|byen|båten|kirken|døra|vinduet|kjøkkenet|stolen|brevet|kaffen|brødet|fisken|kjøttet|kua|katten|hesten|fuglen|treet|blomsten|været|vinteren|sommeren|uka|året|timen|jobben|lønna|penger|renta|skatten|loven|retten|saken|krigen|freden|skipet|toget|flyet|bussen|telefonen|maskinen|motoren|strømmen|oljen|gassen|stålet|betongen|taket|veggen|gulvet|tomta|gården|åkeren|avlingen|høstprøven|eksamen|læreboka|legetimen|medisinen|foten|hånda|ryggen|hjertet|blodet|kulda|varmen|lyset|lyden|musikken|bildet|filmen|spillet|ballen|kampen|laget|målet|prisen|varen|kunden|ordren|avtalen|risiko|vekst|marked|kapital|gevinst|tap|budsjett|plan|rapport|søknad|regel|tall|feil|svar|spørsmål|hjelp|beskjed|permisjon|pensjon|ferie|forslag|vedtak|klage|tilskudd|garanti|kontrakt|leie|sameie|vedlikehold|verdi|lager|frakt|strømregning|forsikring|barnehage|sykehjem|vindmølle|kraftverk|statue|skulptur|museum|kjeller|loft|firma|klasse|kasse|passasjer|massasje|analyse|kanal|drivhusgass|gassverk|utslipp|svinekjøtt|grisehus|horisont|hormon|rasteplass|torsk|idiotsikker bryter|dumpinglønn|jødedom|homogen masse|fittings|pulverlakk|puls|pulje|sugerør|støvsuger|slikkepott|ridesenter|penisillin|pikkoloen|rævdilter|hestehov|kukost|hønsefôr|orgelmusikk|nakenbadeplass|sexolog|drapssak|kjønnsfordeling|voldgiftsdom|dødsbo|skytebane|brannslukker|knusk|slagord|svartmaling|kjerringrokk|skittentøy|svin|griser|storfe|kyr|høns|rotter|sauer|geiter|hester|hunder|slanger|aper|edderkopper|gjess|kaniner|okser|hunderasen|kjerrehjul|hestekrefter|svinefôr|purker|tisper|råner|haner|høner",
         "v": "kjøpte|solgte|så|fant|hørte|leste|skrev|tok|ga|fikk|hadde|ville ha|bygde|ryddet|vasket|malte|flyttet|lånte|leide|eide|åpnet|lukket|sendte|mottok|betalte|bestilte|spiste|drakk|kjørte|fulgte|ventet på|likte|brukte|trengte|mistet|glemte|endret|økte|senket|vurderte|godkjente|avviste|viste|delte|telte|målte|førte|styrte|ledet|lærte|husket|undersøkte|reparerte|beholdt|savnet|tegnet|planla|forsikret|diskuterte|oppdaterte|støttet|takket for|klaget på|ba om",
         "i": "kjøpe|selge|se|finne|lese|skrive|ta|gi|få|ha|bygge|rydde|vaske|male|flytte|låne|leie|åpne|lukke|sende|motta|betale|bestille|spise|kjøre|følge|vente på|bruke|endre|øke|senke|vurdere|godkjenne|avvise|vise|dele|telle|måle|føre|lede|lære|huske|undersøke|reparere|planlegge|forsikre|diskutere|oppdatere|støtte|hente|levere|møte|ringe|hjelpe|besøke|takke",
         "a": "stor|liten|god|bra|ny|gammel|lang|kort|høy|lav|dyr|billig|varm|kald|rød|blå|grønn|svart|hvit|våt|tørr|åpen|lukket|full|tom|sterk|svak|rask|sen|lett|tung|viktig|ferdig|klar|ren|trygg|sikker|rolig|glad|trist|lei|sint|trøtt|frisk|syk|hel|felles|lovlig|gyldig|feil|riktig|finansiell|norsk|lokal|teknisk|offentlig|privat|årlig|kjedelig|dårlig|vanskelig|enkel|naken|fersk|solid|død|vond|hard|skadet|brukt",
@@ -41,7 +41,7 @@ WORDS = {
         "W": "i kveld|i morgen|snart|en dag|i natt|neste gang|før helga|når du minst venter det|på vei hjem|til våren|før møtet",
         "N": "selskapet|styret|banken|kommunen|kunden|leverandøren|vi|jeg|foreningen|butikken|verkstedet|skolen|fylket|bedriften|gården|eieren|hun|han|de ansatte|avdelingen|departementet|avisen|museet|laget|rederiet|fabrikken|meieriet|sykehuset|familien|naboen|du|dere",
         "U": "betalte fakturaen|sendte regningen|solgte bilen|kjøpte bygget|leverte varene|signerte avtalen|hevet prisen|flyttet møtet|ringte kunden|nektet å betale gebyret|tapte saken|vant anbudet|fikk støtte|bygde brygga|malte veggen|skiftet taket|førte bilaget|søkte om lån|betalte ned gjelden|la ned butikken|ansatte to nye|ga en rabatt|glemte vedlegget|spiste lunsj|vasket trappa|leide et lager|reparerte motoren|meldte skaden|økte lageret|senket renta|holdt et kurs|åpnet en kafé|hentet pakken|mistet nøkkelen|bestilte varer|utsatte starten|avsluttet året|delte ut utbytte|klaget på støyen|takket for hjelpen|overtok ansvaret|la fram tallene|ga beskjed|ba om svar|var fornøyd|var på ferie|var uenig|kom for sent|er til salgs|er forsikret|er betalt i tide|har flyttet|har sluttet|starter mandag|har ingen gjeld|står på lager|er ferdig|ble godkjent|ble utsatt|ble solgt|ble verdsatt høyt|er svært misfornøyd|krever pengene tilbake",
-        "T": "i fjor|i mai|på mandag|i dag|etter avtale|for kr 1000|med god margin|uten rente|for andre gang|før fristen|i Bergen|på nett|sammen med oss|til vanlig pris|i sin helhet|i tingretten|i går|uten varsel|i første kvartal|mot sikkerhet",
+        "T": "i fjor|i mai|på mandag|i dag|etter avtale|for kr 1000|med god margin|uten rente|for andre gang|før fristen|i Bergen|på nett|sammen med oss|til vanlig pris|i sin helhet|i tingretten|i går|uten varsel|til 1000 kroner|for 25 000|på 12 000 kroner|med 12 prosent|i 2020|mot 900 året før|i første kvartal|mot sikkerhet",
         "Q": "dyktig|hyggelig|flink|valgt på nytt|på ferie|syk i dag|ny i jobben|snill og klok|tilbake mandag|enig|gravid|gift|på kurs|ansatt fast|svært dyktig|frisk igjen|takknemlig|pensjonist|fra Bergen|habil|grundig",
         "M": "trakassering|hets|rasisme|vold|trusler|diskriminering|overgrep|mobbing|drap|voldtekt|hatkriminalitet|netthets|fordommer|mishandling|utnytting|hatefulle ytringer|et ran|svindel|selvmord|krenkelser|slaveri|antisemittisme",
         "O": "rapporten|politiet|avisen|ombudet|kurset|boken|foredraget|retten|styret|læreren|saken|utvalget|forskeren|hun|dommen|regelen|loven|veilederen|planen|filmen",
@@ -51,7 +51,7 @@ WORDS = {
         "I": "en naken fjellvegg|nakne engler i kirken|en naken statue|de nakne trærne|nakne bronsefigurer|et maleri av nakne kropper|sexliv og helse|seksuell helse|prevensjon|brystkreft|en naken skulptur|aktmaleri|seksualundervisning|underlivet|fødsel og barsel|kjønnslære|en jordmor|en abortsak|skilsmisse|gynekologi|amming|en gudstjeneste|ekteskapsloven|samliv|kjønn og makt|en operasjon|en analyse|et foredrag om sex|prostatakreft|en badedrakt|undertøy til salgs",
     },
     "nn": {
-        "n": "huset|bilen|vegen|boka|bordet|vatnet|skogen|fjellet|byen|båten|kyrkja|døra|vindauget|kjøkenet|stolen|brevet|kaffien|brødet|fisken|kjøtet|kua|katten|hesten|fuglen|treet|blomen|vêret|vinteren|sommaren|veka|året|timen|jobben|løna|pengar|renta|skatten|lova|retten|saka|krigen|skipet|toget|bussen|telefonen|maskina|motoren|straumen|taket|veggen|golvet|tomta|garden|åkeren|avlinga|medisinen|foten|handa|ryggen|hjartet|blodet|varmen|lyset|musikken|biletet|filmen|spelet|kampen|laget|målet|prisen|vara|kunden|avtalen|risiko|vekst|marknad|kapital|gevinst|tap|budsjett|plan|rapport|søknad|regel|tal|feil|svar|spørsmål|hjelp|beskjed|permisjon|pensjon|ferie|framlegg|vedtak|klage|tilskot|garanti|kontrakt|leige|vedlikehald|verdi|lager|forsikring|barnehage|kraftverk|statue|museum|kjellar|firma|klasse|kasse|massasje|analyse|kanal|drivhusgass|gassverk|utslepp|svinekjøt|grisehus|horisont|hormon|torsk|fittings|puls|sugerøyr|støvsugar|slikkepott|penisillin|dødsbu|skytebane|valdgift|kjønnsfordeling|hønsefôr",
+        "n": "huset|bilen|vegen|boka|bordet|vatnet|skogen|fjellet|byen|båten|kyrkja|døra|vindauget|kjøkenet|stolen|brevet|kaffien|brødet|fisken|kjøtet|kua|katten|hesten|fuglen|treet|blomen|vêret|vinteren|sommaren|veka|året|timen|jobben|løna|pengar|renta|skatten|lova|retten|saka|krigen|skipet|toget|bussen|telefonen|maskina|motoren|straumen|taket|veggen|golvet|tomta|garden|åkeren|avlinga|medisinen|foten|handa|ryggen|hjartet|blodet|varmen|lyset|musikken|biletet|filmen|spelet|kampen|laget|målet|prisen|vara|kunden|avtalen|risiko|vekst|marknad|kapital|gevinst|tap|budsjett|plan|rapport|søknad|regel|tal|feil|svar|spørsmål|hjelp|beskjed|permisjon|pensjon|ferie|framlegg|vedtak|klage|tilskot|garanti|kontrakt|leige|vedlikehald|verdi|lager|forsikring|barnehage|kraftverk|statue|museum|kjellar|firma|klasse|kasse|massasje|analyse|kanal|drivhusgass|gassverk|utslepp|svinekjøt|grisehus|horisont|hormon|torsk|fittings|puls|sugerøyr|støvsugar|slikkepott|penisillin|dødsbu|skytebane|valdgift|kjønnsfordeling|hønsefôr|svin|griser|storfe|kyr|høns|rotter|sauer|geiter|hestar|hundar|slangar|aper|gjess|kaninar|oksar|hestekrefter|svinefôr|purker|tisper|hanar",
         "v": "kjøpte|selde|såg|fann|høyrde|las|skreiv|tok|gav|fekk|hadde|bygde|rydda|vaska|måla|flytta|lånte|leigde|åtte|opna|sende|fekk tak i|betalte|tinga|åt|køyrde|følgde|venta på|likte|brukte|trong|mista|gløymde|endra|auka|senka|vurderte|godkjende|avviste|synte|delte|talde|målte|førte|leidde|lærte|hugsa|undersøkte|reparerte|sakna|planla|forsikra|drøfta|støtta|klaga på|bad om",
         "i": "kjøpe|selje|sjå|finne|lese|skrive|ta|gje|få|ha|byggje|rydde|vaske|måle|flytte|låne|leige|opne|sende|betale|tinge|ete|køyre|følgje|vente på|bruke|endre|auke|senke|vurdere|godkjenne|avvise|syne|dele|telje|føre|leie|lære|hugse|undersøkje|reparere|planleggje|forsikre|drøfte|støtte|hente|levere|møte|ringje|hjelpe|vitje|takke",
         "a": "stor|liten|god|bra|ny|gammal|lang|kort|høg|låg|dyr|billeg|varm|kald|raud|blå|grøn|svart|kvit|våt|tørr|open|full|tom|sterk|veik|rask|sein|lett|tung|viktig|ferdig|klar|rein|trygg|sikker|roleg|glad|trist|lei|sint|trøytt|frisk|sjuk|heil|felles|lovleg|gyldig|feil|rett|finansiell|norsk|lokal|teknisk|offentleg|privat|årleg|keisam|dårleg|vanskeleg|enkel|naken|solid|død|vond|hard|skadd|brukt",
@@ -74,7 +74,7 @@ WORDS = {
         "W": "i kveld|i morgon|snart|ein dag|i natt|neste gong|før helga|på veg heim|til våren",
         "N": "selskapet|styret|banken|kommunen|kunden|leverandøren|vi|me|eg|laget|butikken|verkstaden|skulen|fylket|bedrifta|garden|eigaren|ho|han|dei tilsette|avdelinga|avisa|museet|fabrikken|meieriet|sjukehuset|familien|naboen|du",
         "U": "betalte fakturaen|sende rekninga|selde bilen|kjøpte bygget|leverte varene|skreiv under avtalen|heva prisen|flytta møtet|ringde kunden|nekta å betale gebyret|tapte saka|fekk støtte|bygde brygga|måla veggen|skifta taket|førte bilaget|søkte om lån|la ned butikken|tilsette to nye|gav rabatt|gløymde vedlegget|vaska trappa|leigde eit lager|melde skaden|heldt eit kurs|henta pakken|utsette starten|takka for hjelpa|la fram tala|bad om svar|var nøgd|var på ferie|var usamd|kom for seint|er til sals|er forsikra|er betalt i tide|har flytta|har slutta|startar måndag|har inga gjeld|er ferdig|vart godkjend|vart utsett|vart seld",
-        "T": "i fjor|i mai|på måndag|i dag|etter avtale|for kr 1000|utan rente|for andre gong|før fristen|i Bergen|på nett|saman med oss|i sin heilskap|i går|utan varsel|i tide",
+        "T": "i fjor|i mai|på måndag|i dag|etter avtale|for kr 1000|utan rente|for andre gong|før fristen|i Bergen|på nett|saman med oss|i sin heilskap|i går|utan varsel|i tide|til 1000 kroner|for 25 000|på 12 000 kroner|med 12 prosent|i 2020",
         "Q": "dyktig|hyggeleg|flink|vald på nytt|på ferie|sjuk i dag|ny i jobben|snill og klok|attende måndag|samd|gravid|gift|på kurs|fast tilsett|frisk att|takksam|pensjonist|habil|grundig",
         "M": "trakassering|hets|rasisme|vald|truslar|diskriminering|overgrep|mobbing|drap|valdtekt|hatkriminalitet|fordommar|mishandling|hatefulle ytringar|eit ran|svindel|sjølvmord|slaveri",
         "O": "rapporten|politiet|avisa|ombodet|kurset|boka|føredraget|retten|styret|læraren|saka|utvalet|forskaren|ho|dommen|regelen|lova|rettleiaren|planen|filmen",
@@ -84,7 +84,7 @@ WORDS = {
         "I": "nakne figurar|dei nakne trea|eit måleri av nakne kroppar|seksuell helse|prevensjon|brystkreft|ein naken skulptur|aktmaleri|seksualundervising|underlivet|fødsel|ei jordmor|skilsmisse|amming|ei gudsteneste|samliv|kjønn og makt|ein operasjon|ein analyse",
     },
     "en": {
-        "n": "the house|the car|the road|the book|the table|the water|the forest|the hill|the town|the boat|the church|the door|the window|the kitchen|the chair|the letter|coffee|bread|fish|meat|the cat|the horse|the tree|flowers|the weather|the winter|the summer|the week|the year|the hour|the job|wages|money|interest|tax|the law|the case|the war|peace|the ship|the train|the plane|the bus|the phone|the machine|the engine|power|oil|gas|steel|concrete|the roof|the floor|the plot|the farm|the field|the crop|the exam|the appointment|medicine|a foot|a hand|the back|the heart|blood|heat|light|sound|music|the picture|the movie|the game|the ball|the match|the goal|the price|the product|the order|the contract|risk|growth|the market|capital|a gain|a loss|the plan|an application|figures|an error|an answer|a question|help|a message|leave|a pension|holidays|a proposal|a resolution|a complaint|a grant|a guarantee|rent|maintenance|value|stock|freight|insurance|a nursery|a power plant|a statue|a figure|a basement|the ward|the file|the battle|the painting|the trial|a suspect|a witness|a terminal|assets|an assessment|class|a pass|massage|grass|Essex|Sussex|a cocktail|a peacock|a shuttlecock|analysis|titles|titanium|a button|butter|an arsenal|cumulative totals|a document|circumstances|a therapist|scrap|a shell|a dictionary|pigment|a ratio|a crater|dumping|a dumbbell|sex ratio|a sextant|crap game|a cockpit|a bitmap|hellebore|a killer whale|a hitch|matches|niggles|specialists|a grapefruit|a rape field|a snatch block|analogue|a spigot",
+        "n": "the house|the car|the road|the book|the table|the water|the forest|the hill|the town|the boat|the church|the door|the window|the kitchen|the chair|the letter|coffee|bread|fish|meat|the cat|the horse|the tree|flowers|the weather|the winter|the summer|the week|the year|the hour|the job|wages|money|interest|tax|the law|the case|the war|peace|the ship|the train|the plane|the bus|the phone|the machine|the engine|power|oil|gas|steel|concrete|the roof|the floor|the plot|the farm|the field|the crop|the exam|the appointment|medicine|a foot|a hand|the back|the heart|blood|heat|light|sound|music|the picture|the movie|the game|the ball|the match|the goal|the price|the product|the order|the contract|risk|growth|the market|capital|a gain|a loss|the plan|an application|figures|an error|an answer|a question|help|a message|leave|a pension|holidays|a proposal|a resolution|a complaint|a grant|a guarantee|rent|maintenance|value|stock|freight|insurance|a nursery|a power plant|a statue|a figure|a basement|the ward|the file|the battle|the painting|the trial|a suspect|a witness|a terminal|assets|an assessment|class|a pass|massage|grass|Essex|Sussex|a cocktail|a peacock|a shuttlecock|analysis|titles|titanium|a button|butter|an arsenal|cumulative totals|a document|circumstances|a therapist|scrap|a shell|a dictionary|pigment|a ratio|a crater|dumping|a dumbbell|sex ratio|a sextant|crap game|a cockpit|a bitmap|hellebore|a killer whale|a hitch|matches|niggles|specialists|a grapefruit|a rape field|a snatch block|a foolproof lock|an idiot-proof switch|analogue|a spigot|pigs|cattle|swine|cows|hens|cocks|rats|dogs|sheep|goats|horses|snakes|toads|worms|leeches|asses|donkeys|bulls|geese|rabbits|monkeys|apes|spiders|vermin control|cockroach traps|bitches in the kennel|horsepower|pig feed",
         "v": "bought|sold|saw|found|heard|read|wrote|took|gave|got|had|built|tidied|washed|painted|moved|borrowed|rented|owned|opened|closed|sent|received|paid|ordered|ate|drank|drove|followed|waited for|liked|used|needed|lost|forgot|changed|raised|lowered|assessed|approved|rejected|showed|shared|counted|measured|kept|led|learned|remembered|examined|repaired|missed|drew|planned|insured|discussed|updated|supported|complained about|asked for|replaced|described|began|includes|offers|valued",
         "i": "buy|sell|see|find|read|write|take|give|get|have|build|tidy|wash|paint|move|borrow|rent|open|close|send|receive|pay|order|eat|drive|follow|wait for|use|change|raise|lower|assess|approve|reject|show|share|count|measure|keep|lead|learn|remember|examine|repair|plan|insure|discuss|update|support|collect|deliver|meet|call|help|visit|thank|replace|describe|begin|improve",
         "a": "big|small|good|fine|new|old|long|short|high|low|dear|cheap|warm|cold|red|blue|green|black|white|wet|dry|open|closed|full|empty|strong|weak|quick|late|light|heavy|important|ready|clear|clean|safe|calm|glad|sad|sorry|angry|tired|well|ill|whole|common|legal|valid|wrong|right|financial|local|technical|public|private|yearly|boring|bad|difficult|simple|nude|bare|solid|dead|sore|hard|damaged|used|hot|sharp|fresh|available",
@@ -107,7 +107,7 @@ WORDS = {
         "W": "tonight|tomorrow|soon|one day|some night|next time|before the weekend|when you least expect it|on your way home|this spring|after work",
         "N": "the company|the board|the bank|the council|the customer|the supplier|we|I|the club|the shop|the garage|the school|the county|the firm|the farm|the owner|she|he|the staff|the department|the ministry|the paper|the museum|the team|the plant|the dairy|the hospital|the family|our neighbour|you|they",
         "U": "paid the invoice|sent the bill|sold the car|bought the building|delivered the goods|signed the agreement|raised the price|moved the meeting|called the customer|refused to pay the fee|lost the case|won the tender|received support|built the quay|painted the wall|replaced the roof|booked the voucher|applied for a loan|repaid the debt|closed the shop|hired two people|gave a discount|forgot the attachment|had lunch|cleaned the stairs|rented a warehouse|repaired the engine|reported the damage|cut the rate|held a course|opened a cafe|collected the parcel|lost the key|postponed the start|paid a dividend|complained about noise|gave thanks for the help|presented the figures|asked for a reply|was pleased|was on holiday|disagreed|came late|is for sale|is insured|has been paid in time|has moved|has resigned|begins on Monday|has no debt|is in stock|is finished|was approved|was postponed|was sold|was valued highly|is very disappointed|wants a refund|was appointed as secretary|made a photo",
-        "T": "last year|in May|on Monday|today|as agreed|for NOK 1000|with a good margin|without interest|for the second time|before the deadline|in London|online|together with us|at the usual price|in full|in court|yesterday|without notice|in the first quarter|against security",
+        "T": "last year|in May|on Monday|today|as agreed|for NOK 1000|with a good margin|without interest|for the second time|before the deadline|in London|online|together with us|at the usual price|in full|in court|yesterday|without notice|at NOK 1 000|for 25 000|of 12 000 pounds|by 12 per cent|in 2020|in the first quarter|against security",
         "Q": "skilled|friendly|clever|re-elected|on holiday|ill today|new in the job|kind and wise|back on Monday|in agreement|pregnant|married|on a course|well again|grateful|retired|from London|thorough|a great help|responsible for sales",
         "M": "harassment|hate speech|racism|violence|threats|discrimination|abuse|bullying|murder|rape|hate crime|prejudice|maltreatment|exploitation|a robbery|fraud|suicide|insults|slavery|antisemitism|sexual assault",
         "O": "the report|the police|the paper|the ombudsman|the course|the book|the lecture|the court|the board|the teacher|the case|the committee|the researcher|she|the verdict|the rule|the law|the guide|the plan|the film",
@@ -190,21 +190,21 @@ I want to {F} you|I want to {F} you {K}|let me {F} you|come and {F} me|will you
 
 #: Frames of harmless sentences, many of which share words with the ones above.
 GOOD = {
-    "nb": """{n} {v} {n}|{P} {v} {n}|{N} {v} {n} {T}|{G} {v} {n} {T}|jeg {v} {n}|du {v} {n}|vi må {i} {n}|{P} skal {i} {n} {W}|jeg vil {i} {n}|du bør {i} {n}|{G} bør {i} {n}|kan du {i} {n}|{n} er {a}|{n} var {a} og {a}|{P} er {a}|{a} {n}|{n}|{n} og {n}|{n} til {P}|{n} til {G}|{n} {T}|{n} for {n}|{n} {K}|ikke {i} {n}|{n} er {v}|en {a} {n} {K}|så {a} var {n}|for en {a} {n}|{n} i {n}|{i} {n}, {i} {n}|{P} var {a} da {N} {v} {n}|håper {n} er {a} {W}|{N} skal {i} {n} og {i} {n}|alle {G} kan {i} {n}|{n}, {n} og {n}
+    "nb": """{n} og {n} {T}|{n} er {v} {T}|{n} ble {v} {T}|{n} og {n} ble {v} {T}|{n} er {a} {T}|{n} {T} og {n} {T}|{n} {v} {n}|{P} {v} {n}|{N} {v} {n} {T}|{G} {v} {n} {T}|jeg {v} {n}|du {v} {n}|vi må {i} {n}|{P} skal {i} {n} {W}|jeg vil {i} {n}|du bør {i} {n}|{G} bør {i} {n}|kan du {i} {n}|{n} er {a}|{n} var {a} og {a}|{P} er {a}|{a} {n}|{n}|{n} og {n}|{n} til {P}|{n} til {G}|{n} {T}|{n} for {n}|{n} {K}|ikke {i} {n}|{n} er {v}|en {a} {n} {K}|så {a} var {n}|for en {a} {n}|{n} i {n}|{i} {n}, {i} {n}|{P} var {a} da {N} {v} {n}|håper {n} er {a} {W}|{N} skal {i} {n} og {i} {n}|alle {G} kan {i} {n}|{n}, {n} og {n}
 {N} {U}|{N} {U} {T}|{T} sa {N} ifra, og {N} {U}|{N} {U}, og {N} {U}|{N} {U} {T}, men {N} {U} {T}|{P} {U}|{P} {U} {T}|{P} er {Q}|{P} er {Q} og {Q}|du er {Q}|dere er {Q}|takk til {P}|takk, {P}, du er {Q}|hilsen {P}|hilsen til {P}: du er {Q}|til {P}: {N} {U}|hei, {P} {U} {T}|kan {P} ringe meg {W}|skal vi spise lunsj {W}|vi sees {W}|kjære {P}|jeg håper {P} er {Q} {W}|jeg savner {P}|ta kontakt med {P} {W}|send bilag til {P}|send meg tallene {W}|vis meg tallene {W}|jeg vil betale {P} {W}|jeg vet hvor {N} bor|{P} døde {T}|{P} mistet jobben {T}|jeg er dum som glemte det|regningen er feil
 {O} handler om {M}|{O} handler om {M} mot {G}|{O} om {M} mot {G} ble lagt fram {T}|{O} tar opp {M}|{O} sier at {M} mot {G} er straffbart|{O} etterforsker {M} mot {P}|{O} fordømmer {M}|{O} gjelder {M} {T}|vi tar avstand fra {M} mot {G}|{P} er siktet for {M}|dømt for {M} {T}|varsel om {M} er behandlet|nulltoleranse for {M}|ingen form for {M} godtas|{M} mot {G} skal meldes|rutine mot {M}|{P} forteller om {M} i oppveksten|{P} ble utsatt for {M}|{O} beskriver hvordan {P} opplevde {M}
 {G} har like rettigheter|{G} har rett til hjelp|{G} er velkomne|{G} er {Q}|{G} får tilbud om kurs|{G} {U}|{N} støtter {G}|{N} ansetter {G}|{N} vil ansette flere {G}|tilbud til {G}|norskkurs for {G}|andelen {G} i styret økte|{G} og {G} er med i avtalen|likestilling for {G}|vi takker alle {G} som hjalp|{O} om {G} i arbeidslivet|{G} fikk fri {T}|møte med {G} {W}|{G} vant saken {T}
 {N} {Z} {E}|{N} {Z} {E} {T}|{E} ble {Q}|{N} {Z} {E}, og {N} {U}|{E} er til salgs|{N} må {z} {E}|{N} vil {z} {E} {T}|{N} ba {N} {z} {E}|{N} ble bedt om å {z} {E} {K}|{P} skal {z} {E} {W}|de skal {z} {E}|jeg skal {z} {E} {W}|noen må {z} {E}|{N} skal kjøpe {E}|{E} døde {T}|{E} er forsikret|det brant {K} {T}|gift mot {E}|{N} kjempet mot {E}
 {O} om {I}|{N} tilbyr {I}|{I} er gratis {T}|kurs i {I} {W}|{N} fikk støtte til {I}|{N} viser {I}|lege i {I}|{O} handler om {I}|butikken selger {I}
 ja|nei|ok|hei|mvh|god dag|takk|se vedlegg|note|sum|i alt|egenkapital|varelager|lønn og pensjon|drift|aksjer|resultat|utbytte|vedlegg|vennlig hilsen {P}|god jul|god bedring|til orientering|merknad|{N}|{P}|{E}|{I}|hallo|heisann|hei igjen|god morgen|god kveld|kjære alle|beste hilsen|hilsen oss|ha en fin dag|god helg|takk for i dag|til alle|ps|vedlagt|se under|hm|ha ha|javel|bra|fint""",
-    "nn": """{n} {v} {n}|{P} {v} {n}|{N} {v} {n} {T}|{G} {v} {n} {T}|eg {v} {n}|du {v} {n}|vi må {i} {n}|{P} skal {i} {n} {W}|eg vil {i} {n}|{G} bør {i} {n}|kan du {i} {n}|{n} er {a}|{n} var {a} og {a}|{P} er {a}|{a} {n}|{n}|{n} og {n}|{n} til {P}|{n} til {G}|{n} {T}|{n} {K}|ikkje {i} {n}|for ein {a} {n}|håpar {n} er {a} {W}|{N} skal {i} {n}|alle {G} kan {i} {n}
+    "nn": """{n} og {n} {T}|{n} er {v} {T}|{n} vart {v} {T}|{n} og {n} vart {v} {T}|{n} {v} {n}|{P} {v} {n}|{N} {v} {n} {T}|{G} {v} {n} {T}|eg {v} {n}|du {v} {n}|vi må {i} {n}|{P} skal {i} {n} {W}|eg vil {i} {n}|{G} bør {i} {n}|kan du {i} {n}|{n} er {a}|{n} var {a} og {a}|{P} er {a}|{a} {n}|{n}|{n} og {n}|{n} til {P}|{n} til {G}|{n} {T}|{n} {K}|ikkje {i} {n}|for ein {a} {n}|håpar {n} er {a} {W}|{N} skal {i} {n}|alle {G} kan {i} {n}
 {N} {U}|{N} {U} {T}|{N} {U}, og {N} {U}|{P} {U}|{P} {U} {T}|{P} er {Q}|{P} er {Q} og {Q}|du er {Q}|de er {Q}|takk til {P}|helsing {P}|helsing til {P}: du er {Q}|hei, {P} {U} {T}|kan {P} ringje meg {W}|vi sest {W}|kjære {P}|send meg tala {W}|vis meg tala {W}|eg vil betale {P} {W}|{P} døydde {T}|rekninga er feil|eg er lei for det
 {O} handlar om {M}|{O} handlar om {M} mot {G}|{O} tek opp {M}|{O} granskar {M} mot {P}|vi tek avstand frå {M} mot {G}|{P} er sikta for {M}|dømd for {M} {T}|nulltoleranse for {M}|{M} mot {G} skal meldast|rutine mot {M}|{P} vart utsett for {M}
 {G} har like rettar|{G} er velkomne|{G} er {Q}|{G} får tilbod om kurs|{G} {U}|{N} støttar {G}|{N} treng fleire {G}|tilbod til {G}|likestilling for {G}|{G} fekk fri {T}
 {N} {Z} {E}|{N} {Z} {E} {T}|{E} er til sals|{N} må {z} {E}|{N} vil {z} {E} {T}|{N} bad {N} {z} {E}|{P} skal {z} {E} {W}|eg skal {z} {E} {W}|nokon må {z} {E}|{N} skal kjøpe {E}|{E} døydde {T}|gift mot {E}
 {O} om {I}|{N} tilbyr {I}|{I} er gratis {T}|kurs i {I} {W}|{N} syner {I}|{O} handlar om {I}
 ja|nei|ok|hei|mvh|takk|sjå vedlegg|note|sum|eigenkapital|varelager|løn og pensjon|drift|aksjar|resultat|{N}|{P}|{E}|{I}|hallo|heisann|god morgon|god kveld|kjære alle|beste helsing|ha ein fin dag|god helg|til alle|vedlagt|sjå under|bra|fint""",
-    "en": """{n} {v} {n}|{P} {v} {n}|{N} {v} {n} {T}|{G} {v} {n} {T}|I {v} {n}|you {v} {n}|we must {i} {n}|{P} will {i} {n} {W}|I want to {i} {n}|you should {i} {n}|{G} should {i} {n}|can you {i} {n}|{n} is {a}|{n} was {a} and {a}|{P} is {a}|{a} {n}|{n}|{n} and {n}|{n} for {P}|{n} for {G}|{n} {T}|{n} of {n}|{n} {K}|do not {i} {n}|{n} was {v}|a {a} {n} {K}|so {a} was {n}|what a {a} {n}|{n} in {n}|{P} was {a} when {N} {v} {n}|I hope {n} is {a} {W}|{N} will {i} {n} and {i} {n}|all {G} can {i} {n}|{n}, {n} and {n}
+    "en": """{n} and {n} {T}|{n} are {v} {T}|{n} were {v} {T}|{n} and {n} were {v} {T}|{n} is {a} {T}|{n} {T} and {n} {T}|{n} {v} {n}|{P} {v} {n}|{N} {v} {n} {T}|{G} {v} {n} {T}|I {v} {n}|you {v} {n}|we must {i} {n}|{P} will {i} {n} {W}|I want to {i} {n}|you should {i} {n}|{G} should {i} {n}|can you {i} {n}|{n} is {a}|{n} was {a} and {a}|{P} is {a}|{a} {n}|{n}|{n} and {n}|{n} for {P}|{n} for {G}|{n} {T}|{n} of {n}|{n} {K}|do not {i} {n}|{n} was {v}|a {a} {n} {K}|so {a} was {n}|what a {a} {n}|{n} in {n}|{P} was {a} when {N} {v} {n}|I hope {n} is {a} {W}|{N} will {i} {n} and {i} {n}|all {G} can {i} {n}|{n}, {n} and {n}
 {N} {U}|{N} {U} {T}|{N} {U}, and {N} {U}|{N} {U} {T}, but {N} {U} {T}|{P} {U}|{P} {U} {T}|{P} is {Q}|{P} is {Q} and {Q}|you are {Q}|they are {Q}|thanks to {P}|thank you, {P}, you are {Q}|regards, {P}|note to {P}: you are {Q}|to {P}: {N} {U}|hello, {P} {U} {T}|can {P} call me {W}|shall we have lunch {W}|see you {W}|dear {P}|I hope {P} is {Q} {W}|I miss {P}|get in touch with {P} {W}|send vouchers to {P}|send me the figures {W}|show me the figures {W}|I want to pay {P} {W}|I know where {N} lives|{P} died {T}|{P} lost the job {T}|I feel stupid, sorry|the invoice is wrong
 {O} deals with {M}|{O} deals with {M} against {G}|{O} on {M} against {G} was presented {T}|{O} takes up {M}|{O} says {M} against {G} is a crime|{O} investigates {M} against {P}|{O} condemns {M}|{O} concerns {M} {T}|we reject {M} against {G}|{P} is charged with {M}|convicted of {M} {T}|zero tolerance for {M}|no form of {M} is accepted|{M} against {G} must be reported|rules against {M}|{P} spoke of {M} in childhood|{P} suffered {M}|{O} tells how {P} suffered {M}
 {G} have equal rights|{G} are welcome|{G} are {Q}|{G} are offered courses|{G} {U}|{N} supports {G}|{N} employs {G}|{N} wants to hire more {G}|an offer to {G}|classes for {G}|the share of {G} on the board rose|{G} and {G} are covered|equal pay for {G}|we thank all {G} who helped|{O} on {G} at work|{G} may take leave {T}|a meeting with {G} {W}|{G} won the case {T}
@@ -222,7 +222,7 @@ yes|no|ok|hello|regards|good day|thanks|see attachment|note|total|equity|invento
 SMALL_WORDS = {
     "nb": "jeg du han hun vi dere de det den meg deg ham henne oss dem seg min din sin hans hennes vår deres dette disse denne noen noe ingen alle alt mange få hver begge selv en et to tre fire fem seks sju åtte ni ti tolv tjue hundre og eller men for at om hvis når da mens før etter siden fordi så som enn i på av til fra med uten mellom mot over under ved hos gjennom rundt langs bak foran inn ut opp ned hjem bort her der nå da snart alltid aldri ofte kanskje bare også ikke jo vel nok svært veldig ganske litt mer mest mindre igjen allerede fortsatt ennå hvor hva hvem hvilken hvorfor hvordan er var blir ble blitt har hadde kan kunne vil ville skal skulle må måtte bør burde får fikk gjør gjorde gjort går gikk gå kommer kom komme tar tok ta ser så se sier sa si vet visste tror trodde å",
     "nn": "eg du han ho vi me de dei det den meg deg oss dykk seg min din sin hans hennar vår deira dette desse denne nokon noko ingen alle alt mange få kvar begge sjølv ein eit ei to tre fire fem seks sju åtte ni ti tolv tjue hundre og eller men for at om viss når då medan før etter sidan fordi så som enn i på av til frå med utan mellom mot over under ved hos gjennom rundt langs bak framfor inn ut opp ned heim bort her der no snart alltid aldri ofte kanskje berre også ikkje jo vel nok svært veldig ganske litt meir mest mindre igjen alt framleis enno kvar kva kven kvifor korleis er var vert vart har hadde kan kunne vil ville skal skulle må måtte bør burde får fekk gjer gjorde gjort går gjekk gå kjem kom kome tek tok ta ser såg sjå seier sa veit visste trur trudde å",
-    "en": "i you he she we they it me him her us them my your his its our their this that these those some any no none all many few each both self one two three four five six seven eight nine ten twelve twenty hundred and or but for that if when while before after since because so as than in on of to from with without between against over under at by through around along behind into out up down home away here there now then soon always never often perhaps only also not well enough very quite rather a an the more most less again already still yet where what who which why how is was be been being are were has had have can could will would shall should must may might do does did done go goes went come came take took see saw say said know knew think thought like",
+    "en": "i you he she we they it don t ll ve m re s d isn aren won doesn didn can couldn me him her us them my your his its our their this that these those some any no none all many few each both self one two three four five six seven eight nine ten twelve twenty hundred and or but for that if when while before after since because so as than in on of to from with without between against over under at by through around along behind into out up down home away here there now then soon always never often perhaps only also not well enough very quite rather a an the more most less again already still yet where what who which why how is was be been being are were has had have can could will would shall should must may might do does did done go goes went come came take took see saw say said know knew think thought like",
 }
 
 #: How often a language is drawn, and what is put around a sentence (quotes, salutations, endings).
