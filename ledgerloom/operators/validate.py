@@ -79,8 +79,8 @@ def vocabulary_failures(concepts: DataFrame, labels: DataFrame, arcs: DataFrame
     """``subject_id, rule``: what the shapes of a vocabulary forbid (OP-A7).
 
     A concept needs a label, at most one preferred label a language, a period type, status and data
-    type of the allowed values; a balance may be missing; an arc weighs 1 or -1. No row means that
-    all conform (OP-A8).
+    type of the allowed values, and a scheme where ``concepts`` has that column; a balance may be missing;
+    an arc weighs 1 or -1. No row means that all conform (OP-A8).
     """
     has = labels.where(F.col("role") == "standardLabel")
     rules = [
@@ -92,6 +92,8 @@ def vocabulary_failures(concepts: DataFrame, labels: DataFrame, arcs: DataFrame
         known = F.col(c).isin(*allowed)
         bad = ~F.coalesce(known, F.lit(c == "balance"))
         rules.append(concepts.where(bad).select(F.col("concept_id").alias("subject_id"), F.lit(f"{c} not allowed").alias("rule")))
+    if "scheme" in concepts.columns:
+        rules.append(concepts.where(F.col("scheme").isNull()).select(F.col("concept_id").alias("subject_id"), F.lit("scheme missing").alias("rule")))
     if arcs is not None:
         rules.append(arcs.where(~F.coalesce(F.col("weight").isin(1.0, -1.0), F.lit(False))).select(F.col("parent_id").alias("subject_id"), F.lit("weight not allowed").alias("rule")))
     return reduce(DataFrame.unionByName, rules)

@@ -175,14 +175,14 @@ def _page_drop(cells: str, width: float, min_columns: int = 2, gap_share: float
     return F.flatten(F.transform(F.array(stats), lost))
 
 
-def bbox_vote(cells: DataFrame, width: float = 1000.0, min_voters: int = 7, least_iou: float = 0.3, veto: bool = True) -> DataFrame:
+def bbox_vote(cells: DataFrame, width: float = 1000.0, min_voters: int = 7, least_iou: float = 0.3, veto: bool = True, compatibility: bool = True) -> DataFrame:
     """Diagnostics of every cluster, committed or not (OP-V7).
 
     The box is that of the winners only; ``committed`` where at least ``min_voters`` agree; confidence
     is the share of the cluster's voters. Cells are shuffled once, to their page; dropped voters,
-    clusters and votes are worked out within the page's row.
+    clusters and votes are worked out within the page's row. ``compatibility=False`` compares texts without NFKC.
     """
-    pages = _pages(cells.withColumn("norm", normalise_text(F.coalesce("text", F.lit("")))))
+    pages = _pages(cells.withColumn("norm", normalise_text(F.coalesce("text", F.lit("")), compatibility)))
     if veto:
         pages = pages.withColumn("column_dropped_voters", _page_drop("all", width)).withColumn("all", F.filter("all", lambda m: ~F.coalesce(F.array_contains("column_dropped_voters", m["voter"]), F.lit(False))))
     else:

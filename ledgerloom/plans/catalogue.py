@@ -809,7 +809,6 @@ QUERIES = {
     "looks_numeric": looks_numeric,
     "norm_text": norm_text,
     "norm_nfkc": norm_nfkc,
-    "label_forms": label_forms,
     "numeric_tokens": numeric_tokens,
     "production_tokens": production_tokens,
     "word_tokens": word_tokens,
@@ -820,7 +819,6 @@ QUERIES = {
     "iou_pairs": iou_pairs,
     "column_bins": column_bins,
     "column_drop": column_drop,
-    "cluster_greedy": cluster_greedy,
     "bbox_vote": bbox_vote,
     "vote_text": vote_text,
     "vote_both": vote_both,
@@ -832,8 +830,6 @@ QUERIES = {
     "lazy_vote": lazy_vote,
     "token_vote": token_vote,
     "token_sample": token_sample,
-    "token_cells": token_cells,
-    "line_join": line_join,
     "page_tokens": page_tokens,
     "line_vote": line_vote,
     "word_vote": word_vote,
@@ -849,7 +845,6 @@ QUERIES = {
     "standard_labels": standard_labels,
     "listed_concepts": listed_concepts,
     "lookup_children": lookup_children,
-    "concept_cards": concept_cards,
     "truth_numbers": truth_numbers,
     "page_texts": page_texts,
     "number_present": number_present,
