@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.normal import consistent
@@ -33,14 +35,16 @@ SPLIT_MARKS = "-‐¬\xad"
 
 #: A word counts as frequent from this count, whatever the size of the corpus.
 LEAST_COUNT = 4
-#: Frequent words go to every executor up to this many; beyond it each block of texts gets the counts it asks for by joins.
-MOST_WORDS, BLOCK_TEXTS = 2_000_000, 2_000
+#: Frequent words go to every executor with their vectors up to this many; beyond it each block of texts gets those it asks for by joins.
+MOST_WORDS, BLOCK_TEXTS = 500_000, 2_000
 #: Glyph edits by length of a word: one below 5 letters, two below 10, three up to 100; longer ones are words run together, with one.
 LONG_WORD = 100
 #: A rarer word is a misreading of a frequent one that is this many times as frequent.
 LEAST_RATIO = 4.0
-#: Words with vectors: from this share on, so at most 1 / share; and the size and window of the vectors.
-VECTOR_SHARE, DIMENSIONS, WINDOW = 1e-4, 24, 3
+#: The size and window of the vectors, which all frequent words have that stand beside another; and negatives a pair.
+DIMENSIONS, WINDOW, NEGATIVES = 24, 3, 5
+#: The driver trains up to this many words and pairs; beyond either the executors do, over pairs of blocks of about so many words.
+MOST_TRAINED, MOST_PAIRS, BLOCK_WORDS = 10_000, 3_000_000, 2_000
 #: A line shape is furniture from this share of pages at their edge, if it is rarely met in the body.
 LEAST_SHAPE, LEAST_EDGE = 0.004, 0.95
 EDGE = 3
@@ -144,8 +148,10 @@ def count_signs(df: DataFrame, text: str, pages: bool) -> DataFrame:
     return df.select(text).mapInPandas(run, "what string, key string, n long").groupBy("what", "key").agg(F.sum("n").alias("n"))
 
 
-def _pair_counts(df: DataFrame, text: str, words: dict[str, int]) -> DataFrame:
+def _pair_counts(df: DataFrame, text: str, words: dict[str, int] | None) -> DataFrame:
+    """``a, b, n``: how often two words stand near one another; by their numbers, or of all words, as text, without them."""
     sent = df.sparkSession.sparkContext.broadcast(words)
+    kind = "string" if words is None else "int"
 
     def run(batches):
         at = sent.value
@@ -155,60 +161,141 @@ def _pair_counts(df: DataFrame, text: str, words: dict[str, int]) -> DataFrame:
                 if not isinstance(t, str):
                     continue
                 for line in lines_of(consistent(t)):
-                    ids = [at.get(bare(x), -1) for x in line.split()]
+                    ids = [_counted(x) if at is None else at.get(bare(x)) for x in line.split()]
                     for i, a in enumerate(ids):
-                        if a >= 0:
+                        if a is not None:
                             for b in ids[i + 1 : i + 1 + WINDOW]:
-                                if b >= 0:
+                                if b is not None:
                                     n[a, b] += 1
             yield pd.DataFrame([(a, b, c) for (a, b), c in n.items()], columns=["a", "b", "n"])
 
-    return df.select(text).mapInPandas(run, "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return df.select(text).mapInPandas(run, f"a {kind}, b {kind}, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def skip_grams(size: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, epochs: int = 12, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+def _slopes(win: np.ndarray, wout: np.ndarray, rows: np.ndarray, cols: np.ndarray, w: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gradients of some words in against some words out: pairs with their weights, and the noise in full."""
+    d_in, d_out = np.zeros_like(win), np.zeros_like(wout)
+    for lo in range(0, len(rows), 1 << 17):
+        r, c = rows[lo : lo + (1 << 17)], cols[lo : lo + (1 << 17)]
+        x, y = win[r], wout[c]
+        g = w[lo : lo + (1 << 17)] * (1 - 1 / (1 + np.exp(-np.einsum("ij,ij->i", x, y))))
+        for k in range(DIMENSIONS):
+            d_in[:, k] += np.bincount(r, g * y[:, k], len(win))
+            d_out[:, k] += np.bincount(c, g * x[:, k], len(wout))
+    step = max(1, 1_000_000 // max(1, len(wout)))
+    for lo in range(0, len(win), step):
+        part = win[lo : lo + step]
+        neg = -NEGATIVES * noise[None, :] / (1 + np.exp(-np.clip(part @ wout.T, -30, 30)))
+        d_in[lo : lo + step] += neg @ wout
+        d_out += neg.T @ part
+    return d_in, d_out
+
+
+def _climb(win, wout, gin, gout, d_in, d_out) -> tuple:
+    """One step along the gradients; ``gin, gout`` hold their squares so far."""
+    gin, gout = gin + d_in**2, gout + d_out**2
+    return win + 0.35 * d_in / np.sqrt(gin), wout + 0.35 * d_out / np.sqrt(gout), gin, gout
+
+
+def _start(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors training begins with, the same for a word wherever it is trained."""
+    both = np.array([np.random.default_rng(zlib.crc32(w.encode())).normal(0, 0.3, (2, DIMENSIONS)) for w in words]).reshape(-1, 2, DIMENSIONS)
+    return both[:, 0].copy(), both[:, 1].copy()
+
+
+def skip_grams(size: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, epochs: int = 12, seed: int = 7, start: tuple | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Skip-gram vectors with negative sampling, from pair counts: words in, words out.
 
     The expected gradient over all pairs and the noise distribution is taken in full each epoch, so
     no order and no sample of the text plays a part.
     """
     rng = np.random.default_rng(seed)
-    win, wout = rng.normal(0, 0.3, (size, DIMENSIONS)), rng.normal(0, 0.3, (size, DIMENSIONS))
+    win, wout = start or (rng.normal(0, 0.3, (size, DIMENSIONS)), rng.normal(0, 0.3, (size, DIMENSIONS)))
     if not len(n):
         return win, wout
     rows, cols, w = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([n, n]).astype(np.float64)
     total_r = np.bincount(rows, w, size)
     noise = np.bincount(cols, w, size) ** 0.75
     noise /= noise.sum()
-    negatives = 5
-    order = np.lexsort((cols, rows))
+    order = np.lexsort((w, cols, rows))
     rows, cols, w = rows[order], cols[order], w[order]
+    w /= total_r[rows]
     gin, gout = np.full_like(win, 1e-8), np.full_like(wout, 1e-8)
     for _ in range(epochs * 4):
-        d_in, d_out = np.zeros_like(win), np.zeros_like(wout)
-        pos = 1 / (1 + np.exp(-np.einsum("ij,ij->i", win[rows], wout[cols])))
-        g = (w / np.maximum(total_r[rows], 1)) * (1 - pos)
-        np.add.at(d_in, rows, g[:, None] * wout[cols])
-        np.add.at(d_out, cols, g[:, None] * win[rows])
-        for lo in range(0, size, 2048):
-            part = slice(lo, min(size, lo + 2048))
-            neg = -negatives * noise[None, :] / (1 + np.exp(-np.clip(win[part] @ wout.T, -30, 30)))
-            d_in[part] += neg @ wout
-            d_out += neg.T @ win[part]
-        gin += d_in**2
-        gout += d_out**2
-        win += 0.35 * d_in / np.sqrt(gin)
-        wout += 0.35 * d_out / np.sqrt(gout)
+        win, wout, gin, gout = _climb(win, wout, gin, gout, *_slopes(win, wout, rows, cols, w, noise))
     return win.astype(np.float32), wout.astype(np.float32)
 
 
+def skip_grams_apart(pairs: DataFrame, epochs: int = 12) -> DataFrame:
+    """``key, win, wout``: the vectors of `skip_grams` from pairs of words ``a, b, n``, for more than the driver holds.
+
+    Words are put into blocks. Each pass takes every pair of blocks for itself and sums their
+    gradients, so all pairs and the noise count in full here too. Work grows with the square of the
+    words; a task holds the vectors in of all words once.
+    """
+    spark = pairs.sparkSession
+    sc = spark.sparkContext
+    schema = "key string, win array<float>, wout array<float>"
+    both = checkpoint(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")).groupBy("a", "b").agg(F.sum("n").alias("n")))
+    totals = both.groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("total"))
+    size, mass = totals.agg(F.count("*"), F.sum(F.pow("total", F.lit(0.75)))).first()
+    if not size:
+        return spark.createDataFrame([], schema)
+    blocks = -(-size // BLOCK_WORDS)
+    ids = totals.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int"))
+    ids = checkpoint(ids.withColumn("i", F.row_number().over(Window.partitionBy("block").orderBy("key")) - 1))
+    placed = both.join(ids.select(F.col("key").alias("a"), F.col("block").alias("x"), "i", "total"), "a").join(ids.select(F.col("key").alias("b"), F.col("block").alias("y"), F.col("i").alias("j")), "b")
+    placed = placed.groupBy("x", "y").agg(F.array_sort(F.collect_list(F.struct("i", "j", (F.col("n") / F.col("total")).alias("w")))).alias("e"))
+    names = ids.select(F.col("block").alias("x")).distinct()
+    cells = names.crossJoin(names.withColumnRenamed("x", "y")).join(placed, ["x", "y"], "left")
+
+    def cell(r):
+        e = r.e or []
+        return r.x, (r.y, np.array([v.i for v in e], np.int64), np.array([v.j for v in e], np.int64), np.array([v.w for v in e], np.float64))
+
+    def begin(r):
+        keys = [v.key for v in r.e]
+        win, wout = _start(keys)
+        return r.block, (keys, np.array([v.total for v in r.e], np.float64) ** 0.75 / mass, win, wout, np.full_like(win, 1e-8), np.full_like(wout, 1e-8))
+
+    def slopes(e):
+        y, ((x, rows, cols, w, win), (noise, wout)) = e
+        d_in, d_out = _slopes(win, wout, rows, cols, w, noise)
+        return [((x, 0), d_in), ((y, 1), d_out)]
+
+    def climb(state, found):
+        d = dict(found)
+        return (*state[:2], *_climb(*state[2:], d[0], d[1]))
+
+    cells = cells.rdd.map(cell).persist(StorageLevel.MEMORY_AND_DISK)
+    state = ids.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", "key", "total"))).alias("e")).rdd.map(begin)
+    parts = min(blocks, 4 * sc.defaultParallelism)
+    kept = None
+    for _ in range(epochs * 4):
+        with_in = cells.join(state.mapValues(lambda s: s[2]), parts).map(lambda e: (e[1][0][0], (e[0], *e[1][0][1:], e[1][1])))
+        found = with_in.join(state.mapValues(lambda s: (s[1], s[3])), parts).flatMap(slopes).reduceByKey(np.add, parts)
+        state = state.join(found.map(lambda e: (e[0][0], (e[0][1], e[1]))).groupByKey(parts), parts).mapValues(lambda e: climb(*e)).persist(StorageLevel.MEMORY_AND_DISK)
+        state.checkpoint()
+        state.count()
+        if kept is not None:
+            kept.unpersist()
+            path = sc._jvm.org.apache.hadoop.fs.Path(kept.getCheckpointFile())
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        kept = state
+    cells.unpersist()
+    rows = state.flatMap(lambda e: [(k, a.tolist(), b.tolist()) for k, a, b in zip(e[1][0], e[1][2], e[1][3])])
+    got = checkpoint(spark.createDataFrame(rows, schema))
+    state.unpersist()
+    return got
+
+
 class Knowledge:
     """Word counts, vectors and furniture shapes learned from all texts; what a worker judges lines with."""
 
     def __init__(self, counts: dict[str, int], total: int, shapes: set[str], vocabulary: dict[str, int] | None = None, win=None, wout=None):
         self.counts, self.total, self.shapes = counts, max(1, total), shapes
-        self.words_table: DataFrame | None = None  # all frequent words, where ``counts`` doesn't hold them
-        self.at, self.win, self.wout = vocabulary or {}, win, wout
+        self.words_table: DataFrame | None = None  # all frequent words with their vectors, where ``counts`` doesn't hold them
+        self.at, self.win, self.wout = {} if vocabulary is None else vocabulary, win, wout
         self.linked: dict[str, list[tuple[str, int]]] = {}
         self.judged: dict[str, bool] = {}
         self.by_read: dict[str, list[str]] = defaultdict(list)
@@ -260,7 +347,7 @@ class Knowledge:
         """Mean dot product of a word's vector with those of the words around it; 0 if it has none."""
         if self.win is None or (i := self.at.get(w)) is None:
             return 0.0
-        near = [self.at[x] for x in around if x in self.at]
+        near = [j for x in around if (j := self.at.get(x)) is not None]
         return float(np.mean(self.wout[near] @ self.win[i])) if near else 0.0
 
     def printed(self, w: str, around: list[str] = ()) -> str | None:
@@ -526,13 +613,34 @@ def _near(a: str, b: str) -> bool:
     return len(b) - i - j <= 2 and len(a) - i - j <= 3
 
 
+def _vectors(parts: list[tuple[DataFrame, str, bool]], words: DataFrame, n: int):
+    """Vectors of all ``n`` frequent words that stand near one another, from all their pairs.
+
+    Words and their vectors, where words and pairs are few enough for the driver; a table of
+    `skip_grams_apart` else.
+    """
+
+    def pairs(at: dict[str, int] | None) -> DataFrame:
+        return reduce(DataFrame.unionByName, [_pair_counts(df, text, at) for df, text, _ in parts]).groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+    if n <= MOST_TRAINED:
+        keys = sorted(r.key for r in words.select("key").collect())
+        got = pairs({w: i for i, w in enumerate(keys)}).limit(MOST_PAIRS + 1).toPandas()
+        if len(got) <= MOST_PAIRS:
+            used, ids = np.unique(np.concatenate([got["a"].to_numpy(), got["b"].to_numpy()]).astype(np.int64), return_inverse=True)
+            keys = [keys[i] for i in used]
+            return keys, *skip_grams(len(keys), ids[: len(got)], ids[len(got) :], got["n"].to_numpy(), start=_start(keys))
+    frequent = pairs(None).join(words.select(F.col("key").alias("a")), "a").join(words.select(F.col("key").alias("b")), "b")
+    return skip_grams_apart(frequent.select("a", "b", "n"))
+
+
 def learn(parts: list[tuple[DataFrame, str, bool]], spark: SparkSession, extra_words: dict[str, int] | None = None) -> Knowledge:
     """What all texts tell, in two passes: counts and shapes, then pairs of frequent words.
 
     ``parts`` are (table, text column, whether its texts are pages). To the driver come words from a
-    count of `LEAST_COUNT`, if they are no more than `MOST_WORDS` (else they stay a table, see
-    `_by_blocks`), shapes and words with vectors, bounded by their share, and pairs of the latter from a
-    share of 1e-6 of all pairs.
+    count of `LEAST_COUNT` and their vectors, if they are no more than `MOST_WORDS` (else they stay a
+    table, see `_by_blocks`), shapes, bounded by their share, and all pairs of these words, if they are
+    no more than `MOST_PAIRS` of `MOST_TRAINED` words (else see `skip_grams_apart`).
     """
     signs = None
     for df, text, pages in parts:
@@ -548,7 +656,7 @@ def learn(parts: list[tuple[DataFrame, str, bool]], spark: SparkSession, extra_w
             counts, words_table = {r.key: r.n for r in listed}, None
         else:
             words_table = checkpoint(frequent)
-            counts = {r.key: r.n for r in words_table.where(F.col("n") >= VECTOR_SHARE * total).collect()}
+            counts = {}
         shapes_n = (
             signs.where(F.col("what").isin("e", "b"))
             .groupBy("key")
@@ -558,29 +666,31 @@ def learn(parts: list[tuple[DataFrame, str, bool]], spark: SparkSession, extra_w
         )
     finally:
         signs.unpersist()
-    for w, n in (extra_words or {}).items():
-        counts[w] = max(counts.get(w, 0), n)
-    if not few and extra_words:
+    if few:
+        for w, n in (extra_words or {}).items():
+            counts[w] = max(counts.get(w, 0), n)
+    elif extra_words:
         words_table = words_table.unionByName(spark.createDataFrame(list(extra_words.items()), "key string, n long")).groupBy("key").agg(F.max("n").alias("n"))
     shapes = {r.key for r in shapes_n if not r.key.endswith((".", ",")) and re.search(r"[^\W\d_]{2}|N", r.key) and not _PAGE.match(r.key)}
-    words = sorted((w for w, n in counts.items() if n >= max(LEAST_COUNT, VECTOR_SHARE * total)), key=lambda w: (-counts[w], w))
-    at = {w: i for i, w in enumerate(words)}
-    pairs = None
-    for df, text, pages in parts:
-        if pages:
-            one = _pair_counts(df, text, at)
-            pairs = one if pairs is None else pairs.unionByName(one)
-    win = wout = None
-    if pairs is not None and words:
-        got = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= max(1.0, 1e-6 * total)).toPandas()
-        win, wout = skip_grams(len(words), got["a"].to_numpy(), got["b"].to_numpy(), got["n"].to_numpy())
-    known = Knowledge(counts, total, shapes, at, win, wout)
-    known.words_table = words_table
+    words = spark.createDataFrame([(w,) for w, n in counts.items() if n >= LEAST_COUNT], "key string") if few else words_table
+    got = _vectors(parts, words, words.count())
+    if few:
+        keys, win, wout = got if isinstance(got, tuple) else _collected(got)
+        return Knowledge(counts, total, shapes, {w: i for i, w in enumerate(keys)}, *((win, wout) if keys else (None, None)))
+    if isinstance(got, tuple):
+        got = spark.createDataFrame([(w, a.tolist(), b.tolist()) for w, a, b in zip(*got)], "key string, win array<float>, wout array<float>")
+    known = Knowledge(counts, total, shapes)
+    known.words_table = checkpoint(words_table.join(got, "key", "left"))
     return known
 
 
+def _collected(vectors: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    got = vectors.orderBy("key").toPandas()
+    return list(got["key"]), *(np.array([*got[c]], np.float32).reshape(-1, DIMENSIONS) for c in ("win", "wout"))
+
+
 class Asked(dict):
-    """Word counts that note which words were asked for and aren't there yet."""
+    """Counts or places of words that note which words were asked for and aren't there yet."""
 
     def __init__(self, *a):
         super().__init__(*a)
@@ -598,10 +708,10 @@ class Asked(dict):
 def _by_blocks(df: DataFrame, key: str, text: str, knowledge: Knowledge, schema: str, work) -> DataFrame:
     """``work(knowledge, key, text)`` over all texts where the frequent words are too many for one dictionary.
 
-    Texts are put into blocks. A round works through each block with the counts known so far and notes
-    the words it lacks; their counts are joined in, 0 for words that aren't frequent. When no word is
+    Texts are put into blocks. A round works through each block with the counts and vectors known so far
+    and notes the words it lacks; theirs are joined in, 0 and none for words that aren't frequent. When no word is
     lacking the results stand. Each round shuffles the texts; there are about as many as glyph edits in
-    a row plus two.
+    a row plus four.
     """
     spark = df.sparkSession
     words_table = knowledge.words_table
@@ -610,11 +720,15 @@ def _by_blocks(df: DataFrame, key: str, text: str, knowledge: Knowledge, schema:
     knowledge.words_table = words_table
     blocks = max(1, -(-df.count() // BLOCK_TEXTS))
     texts = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col(text).isNotNull()).withColumn("block", F.pmod(F.xxhash64("k"), F.lit(blocks)))
-    known = spark.createDataFrame([], "block long, key string, n long")
+    known = spark.createDataFrame([], "block long, key string, n long, win array<float>, wout array<float>")
 
     def ready(words: pd.DataFrame) -> Knowledge:
         base = sent.value
-        return Knowledge(Asked(zip(words["key"], words["n"])), base.total, base.shapes, base.at, base.win, base.wout)
+        has = words["win"].notna()
+        win, wout = (np.array([*words.loc[has, c]], np.float32).reshape(-1, DIMENSIONS) for c in ("win", "wout"))
+        at = Asked(dict.fromkeys(words["key"]))
+        at.update((w, i) for i, w in enumerate(words.loc[has, "key"]))
+        return Knowledge(Asked(zip(words["key"], words["n"])), base.total, base.shapes, at, win, wout)
 
     def lacking(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
@@ -623,7 +737,7 @@ def _by_blocks(df: DataFrame, key: str, text: str, knowledge: Knowledge, schema:
         for k, t in zip(rows["k"], rows["t"]):
             work(know, k, t)
         block = int(rows["block"].iloc[0])
-        return pd.DataFrame([(block, w) for w in sorted(know.counts.missing)], columns=["block", "key"], dtype=object)
+        return pd.DataFrame([(block, w) for w in sorted(know.counts.missing | know.at.missing)], columns=["block", "key"], dtype=object)
 
     def final(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         know = ready(words)
@@ -632,7 +746,7 @@ def _by_blocks(df: DataFrame, key: str, text: str, knowledge: Knowledge, schema:
 
     while True:
         pairs = texts.groupBy("block").cogroup(known.groupBy("block"))
-        asked = checkpoint(pairs.applyInPandas(lacking, "block long, key string").join(words_table, "key", "left").select("block", "key", F.coalesce("n", F.lit(0)).alias("n")))
+        asked = checkpoint(pairs.applyInPandas(lacking, "block long, key string").join(words_table, "key", "left").select("block", "key", F.coalesce("n", F.lit(0)).alias("n"), "win", "wout"))
         if asked.isEmpty():
             return pairs.applyInPandas(final, schema)
         known = known.unionByName(asked)

@@ -143,3 +143,64 @@ def test_misreadings_of_misreadings():
     """A misreading met often enough to be frequent leads on to the word that was printed."""
     k = scan.Knowledge({"elektronisk": 900, "elelctronisk": 9}, 10_000, set())
     assert k.printed("elelctronislc") == "elektronisk" and k.printed("elelctronisk") == "elektronisk"
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """A million words and more, and a rare one that stands beside 30 others once each."""
+    line = " ".join(["regnskapet viser avskrivning"] * 34) + "."
+    rare = "\n".join(f"kornsilo {w} kornsilo." for w in [f"ord{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(30)] for _ in range(2))
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select(F.when(F.col("id") < 2, F.lit(rare)).otherwise(line).alias("t"))
+    return df, scan.learn([(df, "t", False)], spark)
+
+
+def test_every_frequent_word_has_a_vector_from_all_its_pairs(crowd):
+    """However large the corpus, no word and no pair is left out, and texts that are no pages count too."""
+    _, k = crowd
+    assert k.total > 2_000_000 and k.at.keys() == {w for w, n in k.counts.items() if n >= scan.LEAST_COUNT}
+    assert len(k.at) == 34 and k.affinity("kornsilo", ["ordaa"]) > k.affinity("kornsilo", ["viser"]) + 1
+
+
+def test_vectors_by_blocks_are_the_same(spark, known, crowd, monkeypatch):
+    """Words or pairs too many for the driver are trained by blocks on the executors, to the same vectors."""
+    df, k = known
+    few = scan._pair_counts(df, "t", None)
+    got = few.where("a < 'h' and b < 'h'").toPandas().sort_values(["a", "b"])
+    keys = sorted({*got["a"], *got["b"]})
+    at = {w: i for i, w in enumerate(keys)}
+    want = scan.skip_grams(len(keys), got["a"].map(at).to_numpy(), got["b"].map(at).to_numpy(), got["n"].to_numpy(), 1, start=scan._start(keys))
+    monkeypatch.setattr(scan, "BLOCK_WORDS", max(1, len(keys) // 3))
+    apart = scan._collected(scan.skip_grams_apart(spark.createDataFrame(got), 1))
+    assert apart[0] == keys and all(np.allclose(a, b, atol=1e-5) for a, b in zip(apart[1:], want))
+
+
+@pytest.mark.parametrize("bound", ["MOST_PAIRS", "MOST_TRAINED"])
+@pytest.mark.parametrize("most_words", [3, 500_000])
+def test_beyond_the_driver_no_pair_is_lost(spark, monkeypatch, bound, most_words):
+    """Past either bound the whole table of pairs is handed on, whether words stay a table or not."""
+    df = spark.createDataFrame([(i, "styret vedtok vedlikehold av kaianlegg.\nstyret utsatte kaianlegg.") for i in range(5)], "id int, t string")
+    seen = []
+    monkeypatch.setattr(scan, bound, 2)
+    monkeypatch.setattr(scan, "MOST_WORDS", most_words)
+    real = scan.skip_grams_apart
+    monkeypatch.setattr(scan, "skip_grams_apart", lambda pairs: seen.extend(tuple(r) for r in pairs.collect()) or real(pairs, 0))
+    k = scan.learn([(df, "t", True)], spark)
+    n = {(a, b): c for a, b, c in seen}
+    assert len(n) == 7 and set(n.values()) == {5} and n["utsatte", "kaianlegg"] == 5
+    if most_words == 3:
+        assert k.words_table.where("win is not null").count() == 5
+    else:
+        assert len(k.at) == 5 and k.win.shape == (5, scan.DIMENSIONS)
+
+
+def test_vectors_by_blocks_of_texts(spark, monkeypatch):
+    """Blocks of texts get the vectors of the words around a choice, and choose as the dictionary does."""
+    rows = [(i, "båten ligger ved kaia land her.\nhuset eier stor hage lund der.") for i in range(12)] + [(50, "båten ligger ved kaia l@nd her."), (51, "huset eier stor hage l@nd der.")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    k = scan.learn([(df, "t", False)], spark)
+    monkeypatch.setattr(scan, "MOST_WORDS", 3)
+    few = scan.learn([(df, "t", False)], spark)
+    a, b = (sorted((r.id, r.paragraphs) for r in scan.repaired(df, "id", "t", x, False).collect()) for x in (k, few))
+    assert a == b and "land her" in dict(a)[50]
