@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import plain_minus
 
+#: Words of 64 bits that a key's numbers are marked in, and digits of the longest number.
+WORDS, LONGEST = 32, 19
+
 
 def number_pattern(n: Column) -> tuple[Column, Column]:
     """Patterns of a whole number: in groups of three, and digit by digit, blanks allowed between."""
@@ -47,37 +50,55 @@ def voter_texts(cells: DataFrame, key: str, text: str, order: list[str]) -> Data
     return cells.groupBy(key, "voter").agg(F.array_join(F.transform(parts, lambda x: x["__t"]), "\n").alias("text"))
 
 
-def shown_numbers(text: Column, lengths: list[int]) -> Column:
-    """Every number of the given numbers of digits that `number_present` finds in a text, as texts.
+def digit_runs(text: Column) -> Column:
+    """``array<struct<sign, digits, first>>``: the runs of digits of a text whose pieces `number_present` finds.
 
-    Digits with only blanks between form a run; any piece of a run is a number that is present. A piece
-    that follows a minus, or stands in parentheses that hold nothing but an amount, is negative too.
+    Digits with only blanks between form a run; any piece of a run is a number that is present. What
+    stands in parentheses that hold nothing but an amount is negative too, and so is, after a minus,
+    a piece that begins the run (``first``).
     """
     t = plain_minus(text)
     bare = lambda c: F.transform(c, lambda x: F.regexp_replace(x, r"(?U)\s", ""))
     runs = bare(F.regexp_extract_all(t, F.lit(r"(?U)(-?[0-9](?:[0-9\s]*[0-9])?)"), F.lit(1)))
     inner = bare(F.flatten(F.transform(F.regexp_extract_all(t, F.lit(r"(?U)\(\s*([\d\s.,]+)\s*\)"), F.lit(1)), lambda x: F.split(x, r"[.,]"))))
-    sizes = F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")
-    begins = lambda r: F.when(F.length(r) > 0, F.sequence(F.lit(1), F.length(r))).otherwise(F.array().cast("array<int>"))
-    pieces = lambda r: F.flatten(F.transform(begins(r), lambda i: F.transform(F.filter(sizes, lambda n: i + n - 1 <= F.length(r)), lambda n: F.substring(r, i, n))))
-    digits = F.flatten(F.transform(runs, lambda r: pieces(F.regexp_replace(r, "^-", ""))))
-    after_minus = F.flatten(F.transform(F.filter(runs, lambda r: r.startswith("-")), lambda r: F.transform(F.filter(sizes, lambda n: n < F.length(r)), lambda n: F.substring(r, F.lit(1), n + 1))))
-    in_parens = F.transform(F.flatten(F.transform(inner, pieces)), lambda x: F.concat(F.lit("-"), x))
+    run = lambda sign, digits, first: F.struct(F.lit(sign).alias("sign"), digits.alias("digits"), F.lit(first).alias("first"))
+    digits = F.transform(runs, lambda r: run("", F.regexp_replace(r, "^-", ""), False))
+    after_minus = F.transform(F.filter(runs, lambda r: r.startswith("-")), lambda r: run("-", F.regexp_replace(r, "^-", ""), True))
+    in_parens = F.transform(F.filter(inner, lambda x: F.length(x) > 0), lambda x: run("-", x, False))
     return F.array_distinct(F.concat(digits, after_minus, in_parens))
 
 
+def shown_numbers(named: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """``key, voter, __s``: numbers that a text shows, without most of those that are none of its key's.
+
+    ``named``: key, n and ``__s``, n as text. Each key has the lengths of its numbers and `WORDS` words
+    of bits by their hash, which end most pieces of a run before they are shuffled. The bits of a key with
+    many thousand numbers let every piece of these lengths pass.
+    """
+    # explode_outer: from explode the planner infers a filter that finds the runs twice
+    h = F.pmod(F.xxhash64("__s"), F.lit(64 * WORDS))
+    word, bit = F.shiftright(h, 6).cast("int"), (h % 64).cast("int")
+    bits = [F.bit_or(F.when(word == i, F.call_function("shiftleft", F.lit(1).cast("long"), bit)).otherwise(F.lit(0).cast("long"))) for i in range(WORDS)]
+    known = named.groupBy(key).agg(F.collect_set(F.length(F.abs("n").cast("string"))).alias("__sizes"), F.array(*bits).alias("__bits"))  # 19 sizes at most
+    runs = texts.select(key, "voter", digit_runs(F.col("text")).alias("__runs"))
+    kept = [key, "voter", "__sizes", "__bits"]
+    each = runs.join(known.hint("merge"), key).select(*kept, F.explode_outer("__runs").alias("__r")).select(*kept, "__r.sign", "__r.digits", F.when(F.col("__r.first"), 1).otherwise(F.length("__r.digits")).alias("__last"))
+    tails = each.select(*kept, "sign", "digits", F.explode(F.sequence(F.lit(1), "__last")).alias("__i")).select(*kept, "sign", F.substring("digits", F.col("__i"), F.lit(LONGEST)).alias("__tail"))
+    pieces = tails.select(key, "voter", "__bits", "sign", "__tail", F.explode("__sizes").alias("__n")).where(F.col("__n") <= F.length("__tail"))
+    return pieces.select(key, "voter", "__bits", F.concat("sign", F.substring("__tail", F.lit(1), F.col("__n"))).alias("__s")).where(F.getbit(F.get("__bits", word), bit) == 1).select(key, "voter", "__s")
+
+
 def hits(truth: DataFrame, texts: DataFrame, key: str) -> DataFrame:
     """``key, n, voter, hit`` for every true number and voter of its key; computed once for all scores.
 
     A voter hits a number that stands in one of its texts (a number does not go on into the next text).
     Texts are turned into the numbers they show and joined by equality, so a key with a tenth of all
-    texts and numbers costs in proportion, not every number against every text.
+    texts and numbers costs in proportion, not every number against every text. The planner takes rows
+    made from an array for no more than those they come from; hence the hints, else it broadcasts them.
     """
-    sizes = sorted(r[0] for r in truth.select(F.length(F.abs("n").cast("string"))).distinct().collect())  # 19 at most
     named = truth.select(key, "n", F.col("n").cast("string").alias("__s"))
-    shown = texts.select(key, "voter", F.explode(shown_numbers(F.col("text"), sizes)).alias("__s"))
-    found = shown.join(named, [key, "__s"]).select(key, "n", "voter").distinct().withColumn("__hit", F.lit(True))
-    grid = truth.join(texts.select(key, "voter").distinct(), key)
+    found = shown_numbers(named, texts, key).join(named.hint("merge"), [key, "__s"]).select(key, "n", "voter").distinct().withColumn("__hit", F.lit(True))
+    grid = truth.join(texts.select(key, "voter").distinct().hint("merge"), key)
     return grid.join(found, [key, "n", "voter"], "left").select(key, "n", "voter", F.coalesce("__hit", F.lit(False)).alias("hit"))
 
 
