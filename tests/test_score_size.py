@@ -22,7 +22,7 @@ def broadcast_rows_of_arrays(df):
     return found
 
 
-@pytest.mark.parametrize("query", ["score_consensus", "score_voters", "voter_recall", "number_present"])
+@pytest.mark.parametrize("query", ["score_consensus", "score_voters", "voter_recall", "number_present", "score_fixture"])
 def test_numbers_of_texts_are_not_broadcast(spark, data, query):
     """The planner takes the numbers that texts show for no more bytes than the texts' file."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
